@@ -5,8 +5,9 @@
 2. Latent space: benchmark items, cut into passages, are dealt into blocks of at most ``BLOCK`` passages.  A block's
    TF-IDF matrix A gets a randomised SVD: subspace iteration Z <- orth(A'(A Z)) from a random start, the products
    summed over partitions, then a small eigenproblem; as many dimensions are kept as hold ``ENERGY`` of the variance.
-3. Search: every document is cut into overlapping windows.  A window's norm within the block's words bounds its cosine
-   with any passage; only windows over the limit are projected, and cosines of at least ``CANDIDATE`` give candidates.
+3. Search: every document is cut into overlapping windows of two widths.  Projection and comparison are one product,
+   words by passages, of which short runs of words are summed once and windows put together from runs; cosines of at
+   least ``CANDIDATE`` give candidates.
 4. Checks, on the words around the window: the longest common subsequence with the item must be ``COPIED`` of the item,
    or ``PARAPHRASED`` of it with the answer, the item's last words, found in order as well.
 
@@ -39,6 +40,8 @@ BITS, RANGES = 18, 512
 WIDTH, STRIDE = 64, 32
 #: Words of documents' windows and their distance: short ones for short items, which a long window would dilute.
 SCALES = ((24, 8), (WIDTH, STRIDE))
+#: Widths and strides are multiples of it.
+STEP = 8
 BLOCK, ENERGY, ROUNDS = 256, 0.99, 3
 CANDIDATE = 0.22
 COPIED, PARAPHRASED, ANSWERED = 0.7, 0.5, 0.8
@@ -236,62 +239,79 @@ class _Item:
         return 0.0
 
 
-def search(w: Words, blocks: list[Block], idf: np.ndarray, squares: list[np.ndarray], items: list[list[_Item]]) -> dict[int, dict[int, tuple[float, float]]]:
-    """Row: item_id: cosine and share of each item found in the rows of w."""
+def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], items: list[list[_Item]]) -> dict[int, dict[int, tuple[float, float]]]:
+    """Row: item_id: cosine and share of each item found in the rows of w.
+
+    tables: of each block, the row of each bucket in the matrix of words by passages, whose last row is zero, for the
+    words that the block lacks.  Runs of STEP words are summed once, and windows are sums of runs.
+    """
     found: dict[int, dict[int, tuple[float, float]]] = {}
     n = np.diff(w.first)
-    rows, begins, ends = [], [], []
-    for width, stride in SCALES:
-        per = np.maximum(1, -(-(n - width) // stride) + 1) * (n > 0)
-        row = np.repeat(np.arange(len(n)), per)
-        begin = w.first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)) * stride
-        rows.append(row)
-        begins.append(begin)
-        ends.append(np.minimum(begin + width, w.first[row + 1]))
-    row, begin, end = (np.concatenate(v) for v in (rows, begins, ends))
-    bucket = _bucket(w.hashes)
-    sums = lambda v: np.r_[0, np.cumsum(v[bucket], dtype=float)]
-    all_sums = sums(idf.astype(float) ** 2)
-    norm2 = np.maximum(all_sums[end] - all_sums[begin], 1e-9)
-    for block, square, own in zip(blocks, squares, items, strict=True):
-        part = sums(square)
-        hot = np.flatnonzero(part[end] - part[begin] >= CANDIDATE**2 * norm2)
-        for s in range(0, len(hot), 2048):
-            some = hot[s : s + 2048]
-            size = end[some] - begin[some]
-            at = np.repeat(begin[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            inner = square[bucket[at]] > 0
-            window, b, value = weighted(np.repeat(np.arange(len(some)), size)[inner], bucket[at[inner]], idf)
-            latent = np.zeros((len(some), block.basis.shape[1]), np.float32)
-            cut = np.searchsorted(window, np.arange(len(some) + 1))
-            weighed = block.basis[np.searchsorted(block.terms, b)] * value[:, None].astype(np.float32)
-            full = np.flatnonzero(np.diff(cut) > 0)
-            if len(full):
-                latent[full] = np.add.reduceat(weighed, cut[:-1][full])
-            cosine = latent @ block.latent.T / np.sqrt(norm2[some])[:, None]
-            for k, p in zip(*np.nonzero(cosine >= CANDIDATE), strict=True):
-                r, i, c = int(row[some[k]]), int(block.item[p]), float(cosine[k, p])
-                have = found.setdefault(r, {})
-                reach = own[i].n
-                text = w.hashes[max(w.first[r], begin[some[k]] - reach) : min(w.first[r + 1], end[some[k]] + reach)].tolist()
-                share = own[i].check(text)
-                if share > 0:
-                    old = have.get(block.ids[i], (0.0, 0.0))
-                    have[block.ids[i]] = (max(old[0], c), max(old[1], share))
+    runs = -(-n // STEP)
+    row = np.repeat(np.arange(len(n)), runs)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
+    if not len(row):
+        return found
+    at = (w.first[row] + place * STEP)[:, None] + np.arange(STEP)
+    inside = at < w.first[row + 1][:, None]
+    bucket = np.where(inside, _bucket(w.hashes)[np.minimum(at, len(w.hashes) - 1)], 0)
+    square = np.where(inside, idf[bucket].astype(float) ** 2, 0).sum(1)
+    for block, (number, matrix), own in zip(blocks, tables, items, strict=True):
+        places = np.where(inside, number[bucket], len(matrix) - 1)
+        sums = matrix[places[:, 0]]
+        for k in range(1, STEP):
+            sums += matrix[places[:, k]]
+        for width, stride in SCALES:
+            start = np.flatnonzero(place * STEP % stride == 0)
+            dot, norm2 = sums[start], square[start]
+            for k in range(1, width // STEP):
+                on = np.minimum(start + k, len(row) - 1)
+                same = (start + k < len(row)) & (row[on] == row[start])
+                dot += sums[on] * same[:, None].astype(np.float32)
+                norm2 = norm2 + square[on] * same
+            # Occurrences are summed here, so words that recur count too much; the exact cosine is worked out for what is left.
+            limit = (CANDIDATE * np.sqrt(np.maximum(norm2, 1e-9))).astype(np.float32)
+            for k, p in zip(*np.nonzero(dot >= limit[:, None]), strict=True):
+                r, i = int(row[start[k]]), int(block.item[p])
+                begin = int(w.first[r] + place[start[k]] * STEP)
+                end = min(begin + width, int(w.first[r + 1]))
+                cosine = _cosine(_bucket(w.hashes[begin:end]), idf, block, int(p))
+                if cosine < CANDIDATE:
+                    continue
+                have, reach = found.setdefault(r, {}), own[i].n
+                old = have.get(block.ids[i], (0.0, 0.0))
+                if old[1] < 1:
+                    text = w.hashes[max(int(w.first[r]), begin - reach) : min(int(w.first[r + 1]), end + reach)].tolist()
+                    share = own[i].check(text)
+                    if share > 0:
+                        have[block.ids[i]] = (max(old[0], cosine), max(old[1], share))
+                else:
+                    have[block.ids[i]] = (max(old[0], cosine), old[1])
     return found
 
 
+def _cosine(bucket: np.ndarray, idf: np.ndarray, block: Block, passage: int) -> float:
+    """Cosine of a window with a passage in the latent space, by the window's full norm."""
+    term, n = np.unique(bucket, return_counts=True)
+    value = np.sqrt(n) * idf[term]
+    norm = float(np.linalg.norm(value))
+    at = np.minimum(np.searchsorted(block.terms, term), len(block.terms) - 1)
+    known = block.terms[at] == term
+    return float(value[known] @ (block.basis[at[known]] @ block.latent[passage])) / norm if norm else 0.0
+
+
 def _judge(blocks: list[Block], idf: np.ndarray, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squares = []
+        tables = []
         for b in blocks:
-            square = np.zeros(1 << BITS)
-            square[b.terms] = idf[b.terms].astype(float) ** 2
-            squares.append(square)
+            number = np.full(1 << BITS, len(b.terms), np.int64)
+            number[b.terms] = np.arange(len(b.terms))
+            by_passage = (b.basis @ b.latent.T) * idf[b.terms][:, None]
+            tables.append((number, np.r_[by_passage, np.zeros((1, by_passage.shape[1]))].astype(np.float32)))
         items = [[_Item(h) for h in b.items] for b in blocks]
         for x in batches:
             for w in _words(x.column("__text")):
-                found = search(w, blocks, idf, squares, items)
+                found = search(w, blocks, idf, tables, items)
                 hits = [sorted(found.get(k, {}).items()) for k in range(w.hi - w.lo)]
                 lists = pa.array([[i for i, _ in h] for h in hits], pa.list_(pa.int64()))
                 best = lambda k: pa.array([max((v[k] for _, v in h), default=0.0) for h in hits], pa.float64())  # noqa: B023, E731
