@@ -231,7 +231,8 @@ def similar_documents(documents: DataFrame, scratch: Scratch, threshold: float =
     weight = scratch.table(member.groupBy("component").agg(F.max("m").alias("m"), F.sum("w").alias("w")), "weights")
     parts = F.ceil(F.greatest(F.col("m") / PART, F.col("w") / 300_000)).cast("int")
     member = scratch.table(member.select("rep", "component", "copies").join(weight.select("component", parts.alias("parts")), "component").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)")), "placed")
-    texts = own.withColumnRenamed("doc_id", "rep").join(member, "rep")
+    # A merge join at every size: what there is to verify grows with the corpus, so it is never broadcast.
+    texts = own.withColumnRenamed("doc_id", "rep").join(member.hint("merge"), "rep")
     keys = ["component", "x", "y"]
     sets = texts.mapInArrow(_cells, "component long, x int, y int, part int, rep long, copies long, shingles binary")
     found = scratch.table(sets.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verify(threshold), "rep long, n long, root long"), "found")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting that holds for what is executed within."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """A folder of its own in the shared directory for one operator call."""
 
@@ -28,9 +41,13 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes df and returns it as a scan; all of df's shuffle files are then free to go."""
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+    def table(self, df: DataFrame, name: str, rows: int = 2048) -> DataFrame:
+        """Writes df and returns it as a scan; all of df's shuffle files are then free to go.
+
+        rows: at most so many go to Python at once while it is written; fewer where each is large.
+        """
+        with _setting(self.spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)):
+            df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def drop(self, name: str) -> None:

@@ -287,9 +287,9 @@ def remove_repeats(documents: DataFrame, scratch: Scratch, keep_text: bool = Tru
         own = texts.select(bucket.cast("int").alias("bucket"), F.lit(3).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("doc"), F.lit(None).cast("binary").alias("pos"))
         return asked.unionByName(own).repartition("bucket").sortWithinPartitions("bucket", "kind")
 
-    anchors = scratch.table(routed(texts.mapInArrow(_anchor_records(buckets, docs_in), PACKED), _repeated_anchors(docs_in)), "anchors")
+    anchors = scratch.table(routed(texts.mapInArrow(_anchor_records(buckets, docs_in), PACKED), _repeated_anchors(docs_in)), "anchors", rows=512)
     found = joined(anchors).mapInArrow(_window_records(buckets, docs_in), PACKED)
-    repeats = scratch.table(routed(found, _later_windows(docs_in)), "repeats")
+    repeats = scratch.table(routed(found, _later_windows(docs_in)), "repeats", rows=512)
     scratch.drop("anchors")
     out = joined(repeats).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
     return out if keep_text else out.drop("kept")
