@@ -46,7 +46,8 @@ class Scratch:
 
         rows: at most so many go to Python at once while it is written; fewer where each is large.
         """
-        with _setting(self.spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)):
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        with _setting(self.spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)), _setting(self.spark, cleanup, "true"):
             df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 

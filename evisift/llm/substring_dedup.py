@@ -64,6 +64,24 @@ def _answers(doc: np.ndarray, pos: np.ndarray, docs_in: int) -> Iterator[pa.Reco
     yield from _packed(doc_bucket(doc, docs_in), 1, np.zeros(len(doc), np.uint8), doc, pos)
 
 
+class _Gathered:
+    """Answers of several buckets, packed together."""
+
+    def __init__(self, docs_in: int):
+        self.docs_in, self.held, self.size = docs_in, [], 0
+
+    def add(self, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((doc, pos))
+        self.size += len(doc)
+        if self.size >= CHUNK_WORDS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            yield from _answers(*(np.concatenate(c) for c in zip(*self.held, strict=True)), self.docs_in)
+        self.held, self.size = [], 0
+
+
 def doc_bucket(doc: np.ndarray, n: int) -> np.ndarray:
     """The same as crc32 of the id's decimal text modulo n, which the other side of the shuffle works out natively."""
     own, back = np.unique(doc, return_inverse=True)
@@ -119,6 +137,7 @@ def _repeated_anchors(docs_in: int):
     """Answers for the anchors that occur again anywhere; answers from before pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = _Gathered(docs_in)
         for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
             kinds = t.column("kind").to_numpy()
             for a, b in zip(cut[:-1], cut[1:], strict=True):
@@ -131,7 +150,8 @@ def _repeated_anchors(docs_in: int):
                 known = np.repeat(kinds[a:b] == 2, n)
                 _, back, count = np.unique(h, return_inverse=True, return_counts=True)
                 again = ((count[back] > 1) | (np.bincount(back, known)[back] > 0)) & ~known
-                yield from _answers(doc[again], pos[again], docs_in)
+                yield from late.add(doc[again], pos[again])
+        yield from late.flush()
 
     return run
 
@@ -140,6 +160,7 @@ def _later_windows(docs_in: int):
     """Answers for every occurrence of a window after its earliest one; answers from before pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = _Gathered(docs_in)
         for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
             kinds = t.column("kind").to_numpy()
             for a, b in zip(cut[:-1], cut[1:], strict=True):
@@ -149,7 +170,8 @@ def _later_windows(docs_in: int):
                     continue
                 h, doc, pos = blobs(part, "hash", np.uint64)[0], blobs(part, "doc", np.int64)[0], blobs(part, "pos", np.uint32)[0]
                 later = _later(h, doc, pos)
-                yield from _answers(doc[later], pos[later], docs_in)
+                yield from late.add(doc[later], pos[later])
+        yield from late.flush()
 
     return run
 
@@ -274,7 +296,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(documents: DataFrame, scratch: Scratch, keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text, if asked for) and kept_sha256 of every row."""
     spark = documents.sparkSession
-    docs_in = buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs_in = buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def routed(records: DataFrame, work) -> DataFrame:
