@@ -1,11 +1,12 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled by naive Bayes log-count ratios.
 
 * Text is lower-cased, white-space runs become one space, and n-grams of ``ORDERS`` characters are hashed into
-  ``2**BITS`` buckets; a bucket counts once per text.
+  ``2**BITS`` buckets; a bucket counts once per text and order.
 * Counts: every labelled training row counts.  Each task sums its rows' buckets into dense arrays, cut into ranges,
   so what is shuffled per task has a fixed size; ranges are then added up.  From them come the log-count ratios
   r = log((pos + 1) / (n_pos + 2)) - log((neg + 1) / (n_neg + 2)) and, for choosing buckets, r over its standard error.
-* The ``max_features`` most significant buckets are kept; x = r for a bucket that a text has, else 0.
+* The ``max_features`` most significant buckets of at least ``LEAST_RATIO`` are kept; x = r for a bucket that a text
+  has, else 0.
 * Fit: L2-regularised logistic regression on the driver, over a sample of at most about ``max_fit_rows`` training rows,
   chosen by a hash of doc_id.  Both bounds are parameters and the only sampling there is.
 
@@ -26,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
-from .textwords import _powers, mix
+from .textwords import _powers
 
 ORDERS, BITS, RANGES = (3, 4, 5, 6), 20, 1024
+#: Buckets whose log-count ratio is nearer to 0 tell nothing.
+LEAST_RATIO = 0.7
 FOLDS = 5
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = re.compile(r"\s+")
@@ -56,38 +59,44 @@ def _slices(texts: list[str | None], limit: int = 1 << 19) -> Iterator[tuple[int
         yield lo, out
 
 
+#: One odd factor an order, so that equal letters of different orders fall apart.
+_FACTORS = {n: pow(0xD1342543DE82EF95, n, 1 << 64) for n in ORDERS}
+
+
 def buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order: text number and bucket of every n-gram of the texts."""
+    """For each order: where each text's n-grams begin (and the end), and the bucket of every n-gram of the texts."""
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    if not len(code):
-        return
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    size = np.array([len(t) for t in texts], np.int64)
+    end = np.cumsum(size)
     with np.errstate(over="ignore"):
-        sums = np.r_[np.uint64(0), np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _powers(len(code), _BASE))]
-        back = _powers(len(code), pow(_BASE, -1, 1 << 64))
+        sums = np.r_[np.uint64(0), np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _powers(max(1, len(code)), _BASE)[: len(code)])]
+        back = _powers(max(1, len(code)), pow(_BASE, -1, 1 << 64))
         for n in ORDERS:
-            if len(code) >= n:
-                m = len(code) - n + 1
-                at = np.flatnonzero(doc[:m] == doc[n - 1 :])
-                yield doc[at], (mix((sums[at + n] - sums[at]) * back[at] + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def _unique(doc: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    both = np.unique((doc << BITS) | bucket)
-    return both >> BITS, both & ((1 << BITS) - 1)
+            m = max(0, len(code) - n + 1)
+            bucket = (((sums[n:] - sums[: len(sums) - n]) * (back[:m] * np.uint64(_FACTORS[n]))) >> np.uint64(64 - BITS)).astype(np.int32) if m else np.zeros(0, np.int32)
+            # The last n - 1 places of each text would reach into the next one.
+            over = (end[:, None] - np.arange(1, n)).ravel()
+            keep = np.ones(m, bool)
+            keep[over[(over >= 0) & (over < m)]] = False
+            yield np.r_[0, np.cumsum(np.maximum(0, size - n + 1))], bucket[keep]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the task's rows by class and bucket, and in range -1 the number of rows of each class."""
     total, rows = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
+    last, number = np.zeros(1 << BITS, np.int32), np.zeros(0, np.int32)
     for x in batches:
         label = np.asarray(x.column("toxic")).astype(np.int64)
         rows += np.bincount(label, minlength=2)
         for lo, texts in _slices(x.column("text").to_pylist()):
-            for doc, bucket in buckets(texts):
-                doc, bucket = _unique(doc, bucket)
-                for k in (0, 1):
-                    total[k] += np.bincount(bucket[label[lo + doc] == k], minlength=1 << BITS).astype(np.int32)
+            for cut, bucket in buckets(texts):
+                if len(bucket) > len(number):
+                    number = np.arange(2 * len(bucket), dtype=np.int32)
+                for k in range(len(texts)):
+                    own = bucket[cut[k] : cut[k + 1]]
+                    # Of places with one bucket the last one written stays: each bucket counts once per text and order.
+                    last[own] = number[: len(own)]
+                    total[label[lo + k]][own[last[own] == number[: len(own)]]] += 1
     if rows.sum():
         width = (1 << BITS) // RANGES
         cut = total.reshape(2, RANGES, width)
@@ -110,7 +119,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"range": pa.array([now], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _significant(n: tuple[int, int], most: int):
+def _significant(n: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = (1 << BITS) // RANGES
         for x in batches:
@@ -119,7 +128,7 @@ def _significant(n: tuple[int, int], most: int):
                     neg, pos = np.frombuffer(c, np.int64).reshape(2, width).astype(float)
                     ratio = np.log((pos + 1) / (n[1] + 2)) - np.log((neg + 1) / (n[0] + 2))
                     z = np.abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1))
-                    best = np.flatnonzero(z > 2)[:most]
+                    best = np.flatnonzero((z > 2) & (np.abs(ratio) >= LEAST_RATIO))
                     yield pa.record_batch({"bucket": pa.array(r * width + best, pa.int64()), "ratio": ratio[best], "z": z[best]})
 
     return run
@@ -128,18 +137,18 @@ def _significant(n: tuple[int, int], most: int):
 def _chosen(table: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Text and feature number of each chosen bucket that a text has."""
     docs, feats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for doc, bucket in buckets(texts):
+    for cut, bucket in buckets(texts):
         f = table[bucket]
-        hit = f >= 0
-        docs.append(doc[hit])
-        feats.append(f[hit])
+        hit = np.flatnonzero(f >= 0)
+        docs.append(np.searchsorted(cut, hit, "right") - 1)
+        feats.append(f[hit].astype(np.int64))
     both = np.unique((np.concatenate(docs) << 32) | np.concatenate(feats))
     return both >> 32, both & 0xFFFFFFFF
 
 
 def _table(chosen: np.ndarray) -> np.ndarray:
-    table = np.full(1 << BITS, -1, np.int64)
-    table[chosen] = np.arange(len(chosen))
+    table = np.full(1 << BITS, -1, np.int32)
+    table[chosen] = np.arange(len(chosen), dtype=np.int32)
     return table
 
 
@@ -177,7 +186,7 @@ def fit(training: DataFrame, scratch: Scratch, max_features: int = 8192, max_fit
     if head is None:
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), float(np.log(0.25 / 0.75)))
     n = tuple(int(k) for k in np.frombuffer(head.counts, np.int64))
-    best = sums.mapInArrow(_significant(n, max_features), "bucket long, ratio double, z double").orderBy(F.desc("z"), "bucket").limit(max_features).collect()
+    best = sums.mapInArrow(_significant(n), "bucket long, ratio double, z double").orderBy(F.desc("z"), "bucket").limit(max_features).collect()
     chosen, ratios = np.array([r.bucket for r in best], np.int64), np.array([r.ratio for r in best])
     share = min(1.0, max_fit_rows / max(1, sum(n)))
     sample = training.where(F.expr(f"pmod(xxhash64(doc_id), 1048576) < {int(share * 1048576)}"))
