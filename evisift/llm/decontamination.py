@@ -75,10 +75,18 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(1 << BITS, np.int64), 0
+    last, number = np.zeros(1 << BITS, np.int64), np.zeros(0, np.int64)
     for x in batches:
         rows += x.num_rows
         for w in _words(x.column("text")):
-            total += np.bincount(np.unique((w.row_of() << BITS) | _bucket(w.hashes)) & ((1 << BITS) - 1), minlength=1 << BITS)
+            bucket = _bucket(w.hashes)
+            if len(bucket) > len(number):
+                number = np.arange(2 * len(bucket))
+            for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+                own = bucket[a:b]
+                # Of places with one bucket the last one written stays: each bucket counts once per document.
+                last[own] = number[: b - a]
+                total[own[last[own] == number[: b - a]]] += 1
     if rows:
         cut = total.astype(np.int32).reshape(RANGES, -1)
         yield pa.record_batch({"range": pa.array(np.arange(RANGES, dtype=np.int32)), "counts": pa.array([c.tobytes() for c in cut], pa.binary())})
@@ -271,33 +279,35 @@ def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np
                 norm2 = norm2 + square[on] * same
             # Occurrences are summed here, so words that recur count too much; the exact cosine is worked out for what is left.
             limit = (CANDIDATE * np.sqrt(np.maximum(norm2, 1e-9))).astype(np.float32)
-            for k, p in zip(*np.nonzero(dot >= limit[:, None]), strict=True):
-                r, i = int(row[start[k]]), int(block.item[p])
+            at_window, at_passage = np.nonzero(dot >= limit[:, None])
+            cut = np.flatnonzero(np.r_[True, at_window[1:] != at_window[:-1]]).tolist() if len(at_window) else []
+            for lo, hi in zip(cut, [*cut[1:], len(at_window)], strict=True):
+                k, passages = at_window[lo], at_passage[lo:hi]
+                r = int(row[start[k]])
                 begin = int(w.first[r] + place[start[k]] * STEP)
                 end = min(begin + width, int(w.first[r + 1]))
-                cosine = _cosine(_bucket(w.hashes[begin:end]), idf, block, int(p))
-                if cosine < CANDIDATE:
-                    continue
-                have, reach = found.setdefault(r, {}), own[i].n
-                old = have.get(block.ids[i], (0.0, 0.0))
-                if old[1] < 1:
-                    text = w.hashes[max(int(w.first[r]), begin - reach) : min(int(w.first[r + 1]), end + reach)].tolist()
-                    share = own[i].check(text)
+                cosines = _cosines(_bucket(w.hashes[begin:end]), idf, block, passages)
+                for p, cosine in zip(passages[cosines >= CANDIDATE].tolist(), cosines[cosines >= CANDIDATE].tolist(), strict=True):
+                    i = int(block.item[p])
+                    have, reach = found.setdefault(r, {}), own[i].n
+                    old = have.get(block.ids[i], (0.0, 0.0))
+                    share = old[1]
+                    if share < 1:
+                        text = w.hashes[max(int(w.first[r]), begin - reach) : min(int(w.first[r + 1]), end + reach)].tolist()
+                        share = max(share, own[i].check(text))
                     if share > 0:
-                        have[block.ids[i]] = (max(old[0], cosine), max(old[1], share))
-                else:
-                    have[block.ids[i]] = (max(old[0], cosine), old[1])
+                        have[block.ids[i]] = (max(old[0], cosine), share)
     return found
 
 
-def _cosine(bucket: np.ndarray, idf: np.ndarray, block: Block, passage: int) -> float:
-    """Cosine of a window with a passage in the latent space, by the window's full norm."""
+def _cosines(bucket: np.ndarray, idf: np.ndarray, block: Block, passages: np.ndarray) -> np.ndarray:
+    """Cosines of a window with passages in the latent space, by the window's full norm."""
     term, n = np.unique(bucket, return_counts=True)
     value = np.sqrt(n) * idf[term]
-    norm = float(np.linalg.norm(value))
+    norm = float(np.sqrt(value @ value))
     at = np.minimum(np.searchsorted(block.terms, term), len(block.terms) - 1)
     known = block.terms[at] == term
-    return float(value[known] @ (block.basis[at[known]] @ block.latent[passage])) / norm if norm else 0.0
+    return (value[known] @ block.basis[at[known]]) @ block.latent[passages].T / norm if norm else np.zeros(len(passages))
 
 
 def _judge(blocks: list[Block], idf: np.ndarray, names: list[str]):
