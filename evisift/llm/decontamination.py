@@ -280,7 +280,9 @@ def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np
             # Occurrences are summed here, so words that recur count too much; the exact cosine is worked out for what is left.
             limit = (CANDIDATE * np.sqrt(np.maximum(norm2, 1e-9))).astype(np.float32)
             at_window, at_passage = np.nonzero(dot >= limit[:, None])
-            cut = np.flatnonzero(np.r_[True, at_window[1:] != at_window[:-1]]).tolist() if len(at_window) else []
+            if not len(at_window):
+                continue
+            cut = np.flatnonzero(np.r_[True, at_window[1:] != at_window[:-1]]).tolist()
             for lo, hi in zip(cut, [*cut[1:], len(at_window)], strict=True):
                 k, passages = at_window[lo], at_passage[lo:hi]
                 r = int(row[start[k]])
