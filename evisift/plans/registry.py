@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats, text, udfs, values
-from ..operators import extraction, linkage, relational, retrieval
+from ..operators import evidence, extraction, linkage, operations, relational, retrieval
 from ..streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -530,3 +530,123 @@ def sentence_chunks(documents):
     s = documents.select("doc_id", udfs.sentences("text").alias("s"))
     w = s.select("doc_id", F.posexplode(relational.windows(F.col("s"))).alias("k", "w"))
     return w.select("doc_id", F.format_string("%d::fulltext::%04d", "doc_id", "k").alias("chunk_id"), F.size("w.sentences").alias("sentence_count"), F.array_join("w.sentences", " ").alias("chunk"))
+
+
+@query("SELECT user_id, coalesce(max(v), 0) + 1 AS next_attempt FROM (SELECT user_id, (value / 100)::INTEGER AS v FROM events) GROUP BY user_id")
+def retry_attempts(events):
+    """A27."""
+    return operations.attempt(events.select("user_id", F.round(F.col("value") / 100).cast("int").alias("v")), ["user_id"], "v")
+
+
+@query("SELECT event_type, user_id, array_to_string(list_sort(list(DISTINCT a)), ',') AS artefacts FROM (SELECT event_type, user_id, CASE WHEN value > 50 THEN 'errors' ELSE 'records' END AS a FROM events) GROUP BY ALL")
+def retry_manifest(events):
+    """K11, A25."""
+    parts = [("errors", events.where("value > 50")), ("records", events.where("not value > 50"))]
+    return operations.manifest(parts, ["event_type"], "user_id").withColumn("artefacts", F.array_join("artefacts", ","))
+
+
+@query("SELECT s_suppkey, round(s_acctbal / 5 * 40 - 30, 6) AS saved, round(CASE WHEN s_acctbal / 5 * 40 > 0 THEN (s_acctbal / 5 * 40 - 30) / (s_acctbal / 5 * 40) END, 6) AS share, round((2 * s_acctbal * 0.5 + 10) * 3 / 1000 * 1.58, 6) AS kwh, round((2 * s_acctbal * 0.5 + 10) * 3 / 1000 * 1.58 * 120, 4) AS grams FROM supplier")
+def resource_estimates(supplier):
+    """A17, A18."""
+    saved, share = operations.time_saved(F.col("s_acctbal"), F.lit(5), F.lit(40), F.lit(30))
+    kwh, grams = operations.energy(F.lit(2), F.col("s_acctbal"), F.lit(0.5), F.lit(3), F.lit(10), 1.58, 120)
+    return supplier.select("s_suppkey", _r(saved).alias("saved"), _r(share).alias("share"), _r(kwh).alias("kwh"), _r(grams, 4).alias("grams"))
+
+
+@query(f"SELECT doc_id, human, ai, CASE WHEN human = 0 AND ai = 1 THEN 'FP' ELSE 'FN' END AS mismatch FROM ({_DECIDED}) WHERE human IS DISTINCT FROM ai")
+def mismatch_sheet(documents, labels):
+    """J10, M10."""
+    return operations.mismatches(_decided(documents, labels).drop("lang"))
+
+
+@query("""
+SELECT o_orderpriority, count(*) AS n, round(count(*) FILTER (o_orderstatus = 'F') / count(*), 6) AS accept_rate, round(count(*) FILTER (o_orderstatus = 'O') / count(*), 6) AS correct_rate, round(count(*) FILTER (o_orderstatus = 'P') / count(*), 6) AS unclear_rate,
+  (count(*) FILTER (o_orderstatus IN ('O', 'P'))) / count(*) >= 0.2 AS trigger FROM orders GROUP BY ALL""")
+def expert_review_summary(orders):
+    """A21."""
+    said = F.when(F.col("o_orderstatus") == "F", "accept").when(F.col("o_orderstatus") == "O", "correct").when(F.col("o_orderstatus") == "P", "unclear")
+    return operations.review_summary(orders.select("o_orderpriority", said.alias("expert_decision")), ["o_orderpriority"])
+
+
+@query("""
+WITH r AS (SELECT c_custkey, c_nationkey AS minute, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 0 END AS t FROM customer)
+SELECT c_custkey FROM r WHERE t <= 0 AND minute NOT IN (SELECT minute FROM r WHERE t > 5000)""")
+def stale_runs(customer):
+    """only runs over 5000 count as live here, so that some minute is without one."""
+    runs = customer.where("c_acctbal <= 0 or c_acctbal > 5000").select("c_custkey", F.col("c_nationkey").alias("minute"), F.greatest(F.col("c_acctbal"), F.lit(0.0)).alias("tokens_total"), F.lit(0).alias("papers"))
+    return operations.stale_runs(runs).select("c_custkey")
+
+
+@query("SELECT min(sha256(role)) AS sha256, substr(min(sha256(role)), 1, 12) AS campaign_id, role AS content FROM conversations WHERE role <> 'user' GROUP BY role")
+def prompt_snapshots(conversations):
+    """Contents that are not stored yet."""
+    known = conversations.where("role = 'user'").select(F.sha2("role", 256).alias("sha256")).distinct()
+    return operations.content_store(known, conversations.select(F.col("role").alias("content"))).select("sha256", "campaign_id", "content")
+
+
+_TERMS = ["thing", "token", "the "]
+_COUNT = " + ".join(f"contains(lower(x), '{t}')::INTEGER" for t in _TERMS)
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(a) + 1)) AS line_no, unnest(a) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)),
+s AS (SELECT doc_id, line_no, ({_COUNT}) + regexp_matches(x, '[0-9]')::INTEGER AS score, ({_COUNT}) AS terms FROM l), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line_no) AS rank FROM s WHERE terms > 0)
+SELECT doc_id, line_no, score FROM r WHERE rank <= 3""")
+def evidence_hints(documents):
+    """R13, T11."""
+    out = documents.where("text is not null").select("doc_id", F.explode(evidence.hints(F.col("text"), _TERMS, 3)).alias("h"))
+    return out.select("doc_id", "h.line_no", F.col("h.score").alias("score"))
+
+
+@query("""
+WITH p AS (SELECT doc_id, text, coalesce(nullif(length(regexp_extract(text, '(?s)^(.*?)(?i:token)', 1)), 0) + 1, CASE WHEN regexp_matches(text, '^(?i:token)') THEN 1 END) AS place FROM documents WHERE regexp_matches(text, '(?i)token'))
+SELECT doc_id, (CASE WHEN greatest(1, place - 80) > 1 THEN '...' ELSE '' END) || substr(text, greatest(1, place - 80), 160) || (CASE WHEN greatest(1, place - 80) + 160 <= length(text) THEN '...' ELSE '' END) AS snippet FROM p""")
+def match_snippets(documents):
+    """P46."""
+    return documents.where(F.col("text").rlike("(?i)token")).select("doc_id", evidence.snippet(F.col("text"), "(?i)token").alias("snippet"))
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, {_TOKENS.replace(_TRIMMED, "lower(" + _TRIMMED + ")")} AS l FROM documents), s AS (SELECT doc_id, l, unnest(range(0, greatest(len(l), 1), 35)) AS start FROM t),
+c AS (SELECT doc_id, start, len(list_filter(l[start + 1 : start + 140], lambda w: w IN ('the', 'of'))) AS score FROM s)
+SELECT doc_id, max(score) AS score, min_by(start, -score * 1000000 + start) AS start FROM c GROUP BY doc_id""")
+def best_text_window(documents):
+    """W15, within each row."""
+    w = documents.select("doc_id", evidence.best_window(F.col("text"), ["the", "of"]).alias("w"))
+    return w.select("doc_id", F.col("w.score").cast("long").alias("score"), (-F.col("w.start")).cast("long").alias("start"))
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'license') THEN 'report' ELSE '' END AS weak, regexp_matches(lower(text), 'apache') AS apache FROM documents WHERE text IS NOT NULL AND regexp_matches(lower(text), 'license')")
+def publication_prefilter(documents):
+    """F14 on licence texts, with a title that names a report."""
+    _, weak = text.publication_type(F.lit("Annual Report"), F.lit("Journal"))
+    return documents.where(F.lower("text").rlike("license")).select("doc_id", F.array_join(weak, ",").alias("weak"), F.contains(F.lower("text"), F.lit("apache")).alias("apache"))
+
+
+@query("SELECT page_id, md5(array_to_string(list_filter(string_split(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_'), lambda x: x <> ''), '_')) AS key_md5 FROM pages")
+def snake_keys(pages):
+    """P14."""
+    return pages.select("page_id", F.md5(text.snake(F.col("url"))).alias("key_md5"))
+
+
+@query()
+def ascii_folded_names(documents):
+    """Unicode normal forms have no SQL."""
+    return documents.select("doc_id", F.substring(udfs.folded(F.substring("text", 1, 200)), 1, 60).alias("folded"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size < 10 AND p_size % 2 = 0 THEN 'both_missing' WHEN p_size < 10 THEN 'rescue_filled_missing' WHEN p_size % 2 = 0 THEN 'primary_only' WHEN lower(p_name) = lower(p_type) THEN 'same_value' WHEN p_size % 3 = 0 THEN 'rescue_has_quote' ELSE 'primary_kept' END AS rescue FROM part")
+def rescue_choice(part):
+    """M11."""
+    primary, second = F.when(F.col("p_size") >= 10, F.col("p_name")), F.when(F.col("p_size") % 2 == 1, F.col("p_type"))
+    quote = F.when(F.col("p_size") % 3 == 0, "n/a").otherwise("seen")
+    return part.select("p_partkey", extraction.rescue(primary, quote, second, F.lit("also seen")).alias("rescue"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE floor(s_acctbal)::BIGINT END AS whole, s_suppkey % 3 = 0 AS yes, CASE WHEN s_suppkey % 5 = 0 THEN 'urban area' WHEN s_suppkey % 5 = 1 THEN 'both' END AS setting FROM supplier")
+def typed_values(supplier):
+    """P36 over texts of several spellings."""
+    k = F.col("s_suppkey")
+    whole = F.when(k % 4 == 0, " N/A ").otherwise(F.concat(F.lit(" "), F.floor("s_acctbal").cast("string")))
+    setting = F.when(k % 5 == 0, "Urban Area").when(k % 5 == 1, " both ").when(k % 5 == 2, "none").otherwise("sea")
+    return supplier.select("s_suppkey", extraction.coerce(whole, "integer").alias("whole"), extraction.coerce(F.when(k % 3 == 0, "Yes").otherwise("no"), "boolean").alias("yes"), extraction.coerce(setting, "enum", ["urban area", "rural area", "both"]).alias("setting"))

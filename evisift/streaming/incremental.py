@@ -31,8 +31,9 @@ def upsert_sink(target: str, key: list[str], order: list[str]) -> Callable[[Data
 
 def event_windows(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums per tumbling window and type; the same expression over a stream or a table."""
-    source = events.withWatermark("ts", late) if events.isStreaming else events
-    return source.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+    # A watermark needs an instant; local times go through the session's zone and back.
+    source = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+    return source.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 def pending(planned: DataFrame, done: DataFrame, key: str) -> DataFrame:
