@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats, text, udfs, values
-from ..operators import evidence, extraction, linkage, operations, relational, retrieval
+from ..operators import evidence, extraction, linkage, operations, relational, retrieval, signals
 from ..streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -650,3 +650,27 @@ def typed_values(supplier):
     whole = F.when(k % 4 == 0, " N/A ").otherwise(F.concat(F.lit(" "), F.floor("s_acctbal").cast("string")))
     setting = F.when(k % 5 == 0, "Urban Area").when(k % 5 == 1, " both ").when(k % 5 == 2, "none").otherwise("sea")
     return supplier.select("s_suppkey", extraction.coerce(whole, "integer").alias("whole"), extraction.coerce(F.when(k % 3 == 0, "Yes").otherwise("no"), "boolean").alias("yes"), extraction.coerce(setting, "enum", ["urban area", "rural area", "both"]).alias("setting"))
+
+
+@query(f"""
+WITH m AS (SELECT s.*, d.text FROM ({_SCORED}) s JOIN documents d USING (doc_id))
+SELECT reason, count(*) AS n FROM (SELECT CASE WHEN trim(coalesce(text, ''), ' ') = '' THEN 'empty' WHEN word_count < 40 THEN 'too_short' WHEN word_count > 220 THEN 'too_long' WHEN ({_sum_sql(text.BOILERPLATE_STRONG)}) >= 1 OR ({_sum_sql(text.BOILERPLATE_WEAK)}) >= 3 THEN 'boilerplate'
+  WHEN {_CITES.format(x="text")} >= 4 OR len(regexp_extract_all(lower(text), 'et al')) >= 3 THEN 'reference_like' WHEN alnum_count / greatest(n_chars, 1) < 0.6 THEN 'noisy' WHEN unique_alpha_word_count < 10 THEN 'repetitive' ELSE 'kept' END AS reason FROM m) GROUP BY reason""")
+def candidate_gates(documents):
+    """F23, F24."""
+    return documents.select(F.coalesce(signals.gates(F.col("text")), F.lit("kept")).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rn FROM lineitem)
+SELECT l_suppkey, l_orderkey, l_linenumber FROM r WHERE rn <= 300 ORDER BY rn > 2, l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 300""")
+def source_capped(lineitem):
+    """A report of 300 rows, two of each supplier first."""
+    order = [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")]
+    return signals.capped(lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice"), "l_suppkey", order, 2, 300).drop("l_extendedprice")
+
+
+@query("SELECT source, lang, min_by(doc_id, -n_chars * 100000000 + doc_id) AS doc_id FROM documents GROUP BY ALL")
+def section_best(documents):
+    """The longest document of each language of a source."""
+    return signals.best_per_section(documents.select("source", "lang", "doc_id", "n_chars"), "source", "lang", [F.desc("n_chars"), F.col("doc_id")]).drop("n_chars")
