@@ -375,3 +375,16 @@ def test_components(spark):
     got = {r.id: r.component for r in components(df, Scratch(spark, "cc")).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100, 102: 100} | {k: 300 for k in range(300, 360)}
     assert components(df.limit(0), Scratch(spark, "cc")).count() == 0
+
+
+def test_leaks_in_several_groups(spark, monkeypatch):
+    """A benchmark that does not fit at once is searched group by group, with the same result."""
+    rng = random.Random(8)
+    items = [[f"t{rng.randrange(3000)}" for _ in range(25)] for _ in range(7)]
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    texts = [items[0] + items[6], items[3], [f"u{k}" for k in range(90)], items[2] + items[5] + items[1]]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(decontamination, "BLOCK", 2)
+    monkeypatch.setattr(decontamination, "RESIDENT_MB", 0)
+    got = {r.doc_id: r["items"] for r in decontamination.find_leaks(df, bench, Scratch(spark, "t")).collect()}
+    assert got == {0: [0, 6], 1: [3], 2: [], 3: [1, 2, 5]}
