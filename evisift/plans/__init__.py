@@ -1,0 +1,6 @@
+"""All registered queries: importing the modules registers them."""
+
+from . import assembly
+from .registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "assembly"]
