@@ -38,7 +38,7 @@ def coerce(value: Column, kind: str, options: list[str] | None = None) -> Column
     if kind == "boolean":
         return F.coalesce(F.lower(v).isin("true", "yes", "1"), F.lit(False))
     if kind == "list":
-        return F.filter(F.transform(F.split(v, r"[;,|\n]"), F.trim), lambda x: x != "")
+        return F.filter(F.transform(F.split(v, r"[;,|\n]"), lambda v: F.trim(v)), lambda x: x != "")
     if kind == "enum":
         return F.coalesce(*[F.when(F.lower(v) == o.lower(), F.lit(o)) for o in options or [""]])
     return v

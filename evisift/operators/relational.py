@@ -94,7 +94,7 @@ def margin_lines(pages: DataFrame, paper: str, page: str, text: str, least: int
     """Normal forms of first and last two lines that recur on max(3, half) of a paper's pages or more."""
     from ..functions.text import margin_key
 
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda v: F.trim(v)), lambda x: x != "")
     ends = F.array_distinct(F.transform(F.concat(F.slice(lines, 1, 2), F.slice(lines, F.greatest(F.size(lines) - 1, F.lit(1)), 2)), margin_key))
     sizes = pages.groupBy(paper).agg(F.count_distinct(page).alias("pages"))
     found = pages.where(F.col(text).isNotNull()).select(paper, page, F.explode(ends).alias("line")).where("length(line) >= 6")

@@ -142,7 +142,7 @@ c AS (SELECT source, line, count(DISTINCT doc_id) AS n FROM e WHERE length(line)
 SELECT source, line, n FROM c JOIN s USING (source) WHERE pages >= 3 AND n >= 3 AND n >= 0.02 * pages""")
 def margin_lines(documents):
     """A15 with documents as the pages of a source; lines on a fiftieth of the pages count, as no line is on half."""
-    lines = F.filter(F.transform(F.split("text", "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda v: F.trim(v)), lambda x: x != "")
     ends = F.array_distinct(F.transform(F.concat(F.slice(lines, 1, 2), F.slice(lines, F.greatest(F.size(lines) - 1, F.lit(1)), F.size(lines) + 1)), text.margin_key))
     found = documents.where("text is not null").select("source", "doc_id", F.explode(ends).alias("line")).where("length(line) >= 6").groupBy("source", "line").agg(F.count_distinct("doc_id").alias("n"))
     sizes = documents.groupBy("source").agg(F.count_distinct("doc_id").alias("pages"))

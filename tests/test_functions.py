@@ -199,3 +199,9 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     q.awaitTermination()
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(spark.table("w")) == rows(incremental.event_windows(events))
+
+
+def test_list_values_and_margin_lines_are_trimmed(spark):
+    assert one(spark, extraction.coerce(F.col("t"), "list"), t="0 rats; 10 mice;\n 22") == ["0 rats", "10 mice", "22"]
+    pages = spark.createDataFrame([(1, p, f"  0 Journal of Rivers \nbody {p}\n1 foot {p}") for p in range(4)], "paper int, page int, text string")
+    assert "journal of rivers" in {r.line for r in relational.margin_lines(pages, "paper", "page", "text").collect()}
