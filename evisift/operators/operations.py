@@ -1,7 +1,7 @@
 """Run catalogue, retries, resources, mismatches and review summaries.
 
-Operators: A17 A18 A19 A21 A22 A23 A25 A26 A27 A28 A29 F25 F26 F27 H8 H9 H12 H13 H14 H15 H16 H21 H22 H46 H94 J2 J7 J8 J9 J10
-J15 K2 K9 K11 K12 K13 K14 K16 M9 M10 M16 P18 P19 P48 W14.
+Operators: A17 A18 A19 A20 A21 A22 A23 A25 A26 A27 A28 A29 F8 F25 F26 F27 H8 H9 H12 H13 H14 H15 H16 H19 H20 H21 H22 H46 H94 J2 J7 J8 J9 J10
+J15 J23 K2 K9 K11 K12 K13 K14 K16 M9 M10 M16 P18 P19 P48 W14.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from .relational import latest, upsert
 
 # Fixed values.
 STAMP = r"([0-9]{8})[_-]?([0-9]{6})"
+EMISSIONS = ["duration", "emissions", "energy_consumed", "cpu_energy", "gpu_energy", "ram_energy"]
 
 
 def attempt(df: DataFrame, key: list[str], number: str) -> DataFrame:
@@ -99,3 +100,35 @@ def content_store(known: DataFrame, texts: DataFrame) -> DataFrame:
     """Texts whose hash is not known yet, with the hash and its short form."""
     hashed = texts.withColumn("sha256", F.sha2("content", 256)).withColumn("campaign_id", F.substring("sha256", 1, 12)).dropDuplicates(["sha256"])
     return hashed.join(known.select("sha256"), "sha256", "left_anti")
+
+
+def emission_totals(rows: DataFrame) -> DataFrame:
+    """Row count and sums of six measures kept as texts; a cell that is no number, and a missing column, count 0."""
+    cell = lambda c: F.coalesce(F.trim(F.col(c)).try_cast("double"), F.lit(0.0)) if c in rows.columns else F.lit(0.0)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), *[F.coalesce(F.sum(cell(c)), F.lit(0.0)).alias(c) for c in EMISSIONS])
+
+
+def fill_run(rows: DataFrame, run: str, run_id: str | None = None, override: bool = False) -> DataFrame:
+    """Columns run and run_id after project_name (else last), filled where blank, or everywhere."""
+    old = rows.columns
+    at = old.index("project_name") + 1 if "project_name" in old else len(old)
+    names = old if "run" in old else [*old[:at], "run", *old[at:]]
+    if "run_id" not in names:
+        names = [*names[: names.index("run") + 1], "run_id", *names[names.index("run") + 1 :]]
+    for name, value in (("run", run), ("run_id", run_id)):
+        now = F.coalesce(F.col(name), F.lit("")) if name in old else F.lit("")
+        rows = rows.withColumn(name, F.when(F.lit(override) | (now == ""), F.lit(value or "")).otherwise(now) if value else now)
+    return rows.select(*names)
+
+
+def find_record(records: DataFrame, paper_id: str | None = None, input_hash: str | None = None) -> DataFrame:
+    """Rows (paper_id, input_sha256) of an id, with or without #, or of an input's hash; a filter that the scan gets."""
+    same_id = F.lit(False) if not paper_id else F.col("paper_id").isin(sorted({paper_id.strip(), paper_id.strip().lstrip("#"), "#" + paper_id.strip().lstrip("#")}))
+    same_hash = F.lit(False) if not input_hash else F.lower(F.trim("input_sha256")) == input_hash.strip().lower()
+    return records.where(F.coalesce(same_id, F.lit(False)) | F.coalesce(same_hash, F.lit(False)))
+
+
+def quality_split(chunks: DataFrame, low: Column, always: list[str] = ("title",)) -> tuple[DataFrame, DataFrame]:
+    """F8: kept chunks and the pool of dropped ones; kinds that are always included stay whatever their quality."""
+    drop = F.coalesce(low, F.lit(False)) & ~F.coalesce(F.col("kind").isin(*always), F.lit(False))
+    return chunks.where(~drop), chunks.where(drop)

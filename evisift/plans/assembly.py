@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import contexts, review
+from ..functions import text
+from ..operators import contexts, operations, review
 from ..sources import artefacts
-from .registry import query
+from .registry import _CITES, _SUBSTANTIVE, query
 
 _CUES = " ".join(f"WHEN regexp_matches(head, '(?i){p}') THEN '{k}'" for k, p in contexts.SECTION_CUES.items())
 _HEAD = "array_to_string(list_filter(regexp_split_to_array(trim(coalesce(text, ''), ' '), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')[:20], ' ')"
@@ -152,3 +153,36 @@ FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FRO
 def supplement_blocks(conversations):
     """The first eight files of each folder are the operator's limit."""
     return artefacts.supplements(conversations.select("conv_id", F.lpad(F.col("turn").cast("string"), 6, "0").alias("name"), F.col("role").alias("text")), "conv_id")
+
+
+@query("SELECT count(*)::DOUBLE AS row_count, round(sum(CASE WHEN event_id % 3 = 0 THEN 0 ELSE value END), 4) AS duration, round(sum(value), 4) AS emissions FROM events")
+def emission_totals(events):
+    """Measures as texts, every third of one no number."""
+    rows = events.select(F.when(F.col("event_id") % 3 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("duration"), F.col("value").cast("string").alias("emissions"))
+    t = operations.emission_totals(rows)
+    return t.select(F.col("row_count").cast("double").alias("row_count"), F.round("duration", 4).alias("duration"), F.round("emissions", 4).alias("emissions"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'r1' ELSE 'kept' END AS run, 'x7' AS run_id FROM supplier")
+def run_labels(supplier):
+    """H19, H20."""
+    rows = supplier.select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 1, "kept").otherwise("").alias("run"))
+    return operations.fill_run(rows, "r1", "x7")
+
+
+@query("SELECT '#' || doc_id AS paper_id, sha256(coalesce(text, '')) AS input_sha256 FROM documents WHERE doc_id = 7")
+def record_lookup(documents):
+    """J23."""
+    records = documents.select(F.concat(F.lit("#"), F.col("doc_id").cast("string")).alias("paper_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("input_sha256"))
+    return operations.find_record(records, "7")
+
+
+@query(f"""
+SELECT kept, count(*) AS n FROM (SELECT source = 'web' OR NOT coalesce(NOT regexp_matches(line, '[\\p{{L}}\\p{{N}}]') OR len(regexp_extract_all(line, '[A-Za-z]+')) < 3 OR length(line) < 25
+  OR len(regexp_extract_all(line, '[0-9]')) / greatest(length(line), 1) > 0.35 OR ({_CITES.format(x="line")} >= 2 AND NOT {_SUBSTANTIVE.format(x="line")}), false) AS kept
+  FROM (SELECT source, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM documents WHERE text IS NOT NULL)) GROUP BY kept""")
+def quality_pool(documents):
+    """F8: lines that stay and those kept aside, by F1; one source's always stay."""
+    lines = documents.select(F.col("source").alias("kind"), F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.trim("line"))
+    parts = operations.quality_split(lines, text.low_information(F.col("line")), ["web"])
+    return parts[0].select(F.lit(True).alias("kept")).unionByName(parts[1].select(F.lit(False).alias("kept"))).groupBy("kept").agg(F.count(F.lit(1)).alias("n"))

@@ -2,9 +2,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from evisift.operators import contexts, providers, review
+from evisift.operators import contexts, operations, prompts, providers, review
 from evisift.sources import artefacts
 
 
@@ -146,3 +147,54 @@ def test_services(spark):
     domains = spark.createDataFrame([(1, "a", "{}", None), (1, "b", None, "E")], "id int, domain string, payload string, error string")
     got = providers.merged_domains(domains, "id", {"a": "{0}", "b": "{1}"}).first()
     assert (got.a, got.b, got.errors) == ("{}", "{1}", {"b": "E"})
+
+
+PROMPT = """Intro
+# STEPS
+1) First
+ more
+2) Second
+# END GOAL
+- "no_river":
+- "is_eligible":
+- "Wrong Thing":
+# NARROWING
+- "no_later":
+# Criteria
+Action / Change:
+- Include: e.g. training; River walks ; no
+- Exclude: sand
+Other
+- Include: nothing
+"""
+
+
+def test_prompts():
+    assert prompts.rule_terms(PROMPT, ["action/change"]) == ["training", "river walks"] and prompts.rule_terms(PROMPT, ["Action/ Change"], "Exclude") == ["sand"]
+    assert prompts.guidance_blocks(PROMPT) == ["1) First\n more", "2) Second"] and [h for h, _ in prompts.sections(PROMPT)] == ["STEPS", "END GOAL", "NARROWING", "Criteria"]
+    assert "First" not in prompts.without_sections(PROMPT) and prompts.without_sections(PROMPT).startswith("Intro\n\n# NARROWING\n")
+    assert prompts.required_keys(PROMPT) == {"no_river", "is_eligible"}
+    assert prompts.flag_schema(["Wrong context"], PROMPT) == (["no_river", "wrong_context"], ["wrong_context"], None)
+    with pytest.raises(ValueError):
+        prompts.flag_schema([], "")
+    s = prompts.signals(PROMPT, ["Action/Change"], ["none"], ["method"])
+    assert s.source == "prompt_criteria" and s.secondary is None and s.keywords == ["method", "river walks", "training"]
+    assert prompts.domain_groups(["a", "b", "c"], [["b", "a"]]) == [("b", "a"), ("c",)] and prompts.domain_groups(["a"]) == [("a",)]
+    with pytest.raises(ValueError):
+        prompts.for_domains([("a", "x")], ["b"])
+    assert prompts.setting({"n": "4"}, "n", int) == 4 and prompts.setting({"n": "No"}, "n", bool) is False and prompts.setting({}, "n", int, 3) == 3
+    with pytest.raises(ValueError):
+        prompts.setting({"n": "x"}, "n", float)
+    assert prompts.stage_rules({"a": {"x": 1, "y": 2}, "b": 1}, {"a": {"y": 3}, "b": None}) == {"a": {"x": 1, "y": 3}, "b": 1}
+    assert prompts.second_look("c\n", " a ", ["r"]) == "c\n\nEarlier answer:\na\n\nRules:\n- r"
+
+
+def test_run_rows(spark):
+    rows = spark.createDataFrame([("p", "old"), ("q", None)], "project_name string, run string")
+    assert operations.fill_run(rows, "r").columns == ["project_name", "run", "run_id"] and [r.run for r in operations.fill_run(rows, "r").collect()] == ["old", "r"]
+    assert [r.run for r in operations.fill_run(rows, "r", "i", override=True).collect()] == ["r", "r"]
+    assert operations.emission_totals(spark.createDataFrame([(" 2 ",), ("x",), (None,)], "duration string")).first()[:3] == (3, 2.0, 0.0)
+    records = spark.createDataFrame([("#1", "AA"), ("2", None), (None, "bb")], "paper_id string, input_sha256 string")
+    assert operations.find_record(records, "1").count() == 1 and operations.find_record(records, None, "BB ").count() == 1 and operations.find_record(records).count() == 0
+    kept, pool = operations.quality_split(spark.createDataFrame([("title", True), ("body", True), (None, None), (None, True)], "kind string, low boolean"), F.col("low"))
+    assert (kept.count(), pool.count()) == (2, 2)
