@@ -1,6 +1,6 @@
 """What goes to a model as context, and how the flags of its answer become columns.
 
-Operators: P13 P15 P16 P41 P42 P43 P44 R4 R6 F9 F11 F12 F13 F20 H42 H48 H50 H52 H53 H59 H67 H68 H79 H82 H93 U6 W16.
+Operators: P13 P15 P16 P41 P42 P43 P44 R4 R6 R7 F9 F11 F12 F13 F20 H42 H48 H50 H52 H53 H59 H67 H68 U6 W16.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import text as texts
-from ..functions import values
+from ..functions import udfs, values
 
 # Fixed values.
 CORE_FIELDS = ["step_by_step_deliberation", "is_eligible", "confidence_score", "justification", "exclusion_reason_category", "seed_references"]
@@ -132,6 +132,13 @@ def sentence_chunks(paper_id: Column, title: Column, abstract: Column) -> Column
     return F.concat(side("title", title), side("abstract", abstract))
 
 
+def prepared_chunks(paper_id: Column, title: Column, abstract: Column, authors: Column) -> Column:
+    """R7 for records: sentences of title and abstract without their authors, each with its estimated tokens."""
+    clean = lambda x: udfs.sentences(udfs.redact_authors(F.coalesce(x, F.lit("")), F.coalesce(authors, F.lit(""))))
+    chunks = sentence_chunks(paper_id, clean(title), clean(abstract))
+    return F.transform(chunks, lambda c: c.withField("tokens", F.ceil(F.size(texts.words(c["text"])) * texts.TOKENS_PER_WORD).cast("int")))
+
+
 def deliberation(payload: Column) -> Column:
     """An answer's reasoning as one text: of an object its logic, else its texts joined, else its JSON."""
     raw = F.try_variant_get(F.try_parse_json(payload), "$.step_by_step_deliberation", "variant")

@@ -1,6 +1,6 @@
 """Calls of a model service: batches, retries, a cache by text.  The service itself is a parameter; none is built in.
 
-Operators: S22 S23 R9 R21 H49 H61 H82 H83 H86 H95 H97.  Each task opens its own service and sends fixed batches, so
+Operators: S22 S23 R9 R21 H61 H82 H95 H97.  Each task opens its own service and sends fixed batches, so
 memory is bounded by a batch; a task that is lost is sent again, so a service should not mind a repeated request.
 """
 

@@ -1,6 +1,6 @@
 """Human review: columns matched to variables, gold values, quote-aware agreement, packets for reviewers.
 
-Operators: J12 J13 J17 J18 J21 J22 M6 M7 M12 W9 F21 F22 T15 T17 H5 H6 H24 H25 H27 H28 H29 H30 H31 H33 H36 H92 H96 S21.
+Operators: J12 J13 J17 J18 J21 J22 M6 M7 M12 W9 F21 F22 T15 T17 H5 H6 H23 H24 H25 H27 H28 H30 H31 H33 H36 H65 H92 H96 S21.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values
+from .extraction import to_long
+from .relational import latest
 
 # Fixed values.
 ABSENT = ["", "n/a", "na", "not available", "not applicable", "none", "null", "missing"]
@@ -207,3 +209,25 @@ def number_text(x: Column) -> Column:
     """H6: a number as text, whole ones without a fraction; null for what is no number."""
     v = F.trim(x).try_cast("double")
     return F.when(v.isNotNull() & ~F.isnan(v), F.when(v == F.floor(v), F.floor(v).cast("string")).otherwise(v.cast("string")))
+
+
+def headers_or_schema(headers: list[str], schema: list[str]) -> list[str]:
+    """A sheet's headers if four or more of them are the schema's, else the schema's: a manifest is no layout."""
+    plain = lambda x: "".join(c for c in x.lower() if c.isalnum())
+    return headers if len({*map(plain, headers)} & {*map(plain, schema)}) >= 4 else list(dict.fromkeys(h for h in schema if h))
+
+
+def consensus_cells(sheet: DataFrame, key: str, order: str, names: list[str]) -> DataFrame:
+    """Key, variable, value of the last row of each id by an order."""
+    return to_long(latest(sheet, [key], [F.col(order)]).select(key, *names), [key], names)
+
+
+def with_decisions(report: DataFrame, decisions: list[str], paper_id: str | None = None) -> DataFrame:
+    """Rows of some decisions, of one paper if asked."""
+    rows = report.where(F.lower(F.trim("decision")).isin([d.lower() for d in decisions]))
+    return rows.where(F.col("paper_id") == paper_id) if paper_id else rows
+
+
+def rescue_counts(rescued: DataFrame) -> DataFrame:
+    """Cells by domain and by what became of them."""
+    return rescued.groupBy("domain", "mode").agg(F.count(F.lit(1)).alias("n"))

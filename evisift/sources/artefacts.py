@@ -1,6 +1,6 @@
 """Artefacts of runs found by name and age, page texts, caches by content, review sheets and prompt templates.
 
-Operators: S12 S13 S14 S16 S17 S18 S20 M18 H3 H4 H11 H18 H43 H45 H56 H57 H58 H69 H74 H85 H87 H89 H99.
+Operators: A24 S12 S13 S14 S16 S17 S18 S20 M18 H3 H4 H43 H45 H56 H57 H58 H69 H74 H85 H87 H89 H99.
 """
 
 from __future__ import annotations
@@ -99,3 +99,9 @@ def with_metadata(rows: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
     plain = lambda c: F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), "^#+", ""), r"\.0$", "")
     right = metadata.withColumn("__id", plain(F.col(key))).drop(key)
     return rows.withColumn("__id", plain(F.col(key))).join(right, "__id", "left").drop("__id")
+
+
+def count_records(spark: SparkSession, paths: list[str]) -> int:
+    """Data lines of JSON-lines files, each file once; blank lines and ``meta`` lines do not count."""
+    once = list(dict.fromkeys(paths))
+    return spark.read.text(once).where("trim(value) != '' and not contains(value, '\"meta\":')").count() if once else 0

@@ -198,3 +198,17 @@ def test_run_rows(spark):
     assert operations.find_record(records, "1").count() == 1 and operations.find_record(records, None, "BB ").count() == 1 and operations.find_record(records).count() == 0
     kept, pool = operations.quality_split(spark.createDataFrame([("title", True), ("body", True), (None, None), (None, True)], "kind string, low boolean"), F.col("low"))
     assert (kept.count(), pool.count()) == (2, 2)
+
+
+def test_sheets_and_records(spark, tmp_path):
+    assert review.headers_or_schema(["id", "N", "Year", "Title"], ["ID", "n", "year", "title", "x"]) == ["id", "N", "Year", "Title"] and review.headers_or_schema(["id"], ["ID", "ID", "n"]) == ["ID", "n"]
+    sheet = spark.createDataFrame([("1", 1, "a"), ("1", 2, "b"), ("2", 1, None)], "id string, row int, v string")
+    assert {tuple(r) for r in review.consensus_cells(sheet, "id", "row", ["v"]).collect()} >= {("1", "v", "b")}
+    report = spark.createDataFrame([("1", " Match "), ("2", "none"), ("3", None)], "paper_id string, decision string")
+    assert review.with_decisions(report, ["match", "none"]).count() == 2 and review.with_decisions(report, ["match"], "2").count() == 0
+    assert review.rescue_counts(spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None)], "domain string, mode string")).count() == 2
+    (tmp_path / "r.jsonl").write_text('{"a": 1}\n\n{"meta": 1}\n{"a": 2}\n')
+    assert artefacts.count_records(spark, [str(tmp_path / "r.jsonl")] * 2) == 2 and artefacts.count_records(spark, []) == 0
+    got = one(spark, contexts.prepared_chunks(F.lit("p"), F.col("t"), F.col("a"), F.col("w")), t="Rivers by Ann Poe", a="One two. Three four five.", w="Ann Poe")
+    assert [c.kind for c in got] == ["title", "abstract", "abstract"] and "Poe" not in got[0].text and [c.tokens for c in got[1:]] == [3, 4]
+    assert one(spark, contexts.prepared_chunks(F.lit("p"), F.col("t"), F.col("t"), F.col("t")), t=None) == []
