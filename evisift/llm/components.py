@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, lean
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -26,6 +26,7 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+@lean
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of each batch replaced by a star to the smallest node of its local component."""
     for x in batches:

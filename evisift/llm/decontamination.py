@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, lean
 from .textwords import Words, words
 
 BITS, RANGES = 18, 512
@@ -73,6 +73,7 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+@lean
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(1 << BITS, np.int64), 0
     last, number = np.zeros(1 << BITS, np.int64), np.zeros(0, np.int64)
@@ -93,6 +94,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"range": pa.array([-1], pa.int32()), "counts": pa.array([np.int64([rows]).tobytes()], pa.binary())})
 
 
+@lean
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, total = None, None
     out = lambda: pa.record_batch({"range": pa.array([now], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
@@ -132,6 +134,7 @@ def weighted(window: np.ndarray, bucket: np.ndarray, idf: np.ndarray) -> tuple[n
 def _passages(items: DataFrame) -> DataFrame:
     """item_id, item (all words) and words (of a passage) as binary arrays of hashes."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             for w in _words(x.column("text")):
@@ -161,6 +164,7 @@ def _rows(parts: list[bytes], idf: np.ndarray, terms: np.ndarray) -> np.ndarray:
 def _product(idf: np.ndarray, terms: np.ndarray, z: np.ndarray, gram: bool):
     """A task's share of A'(A Z), or of (A Z)'(A Z)."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((z.shape[1] if gram else len(terms), z.shape[1]), np.float32)
         for x in batches:
@@ -313,6 +317,7 @@ def _cosines(bucket: np.ndarray, idf: np.ndarray, block: Block, passages: np.nda
 
 
 def _judge(blocks: list[Block], idf: np.ndarray, names: list[str]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = []
         for b in blocks:

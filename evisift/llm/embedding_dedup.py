@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .arrowstream import whole_groups
 from .components import components, roots
-from .runtime import Scratch
+from .runtime import Scratch, lean
 
 THRESHOLD, TARGET, CELL = 0.98, 0.9999, 512
 
@@ -67,6 +67,7 @@ def _codes(mean: np.ndarray, matrix: np.ndarray, bits: int, tables: int, d: int)
     weight = (1 << np.arange(bits)).astype(np.int64)
     per = d // bits
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             sign = (unit(x.column("embedding"), d) - mean) @ matrix >= 0
@@ -95,6 +96,7 @@ def _pairs_of(cut: np.ndarray, block: np.ndarray, cross: np.ndarray) -> tuple[np
 
 
 def _rerank(d: int, tables: int, threshold: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in whole_groups(batches, ["label", "table", "code", "x", "y"]):
             for lo, hi in _runs(cut):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .arrowstream import whole_groups
 from .components import components, roots
-from .runtime import Scratch
+from .runtime import Scratch, lean
 from .textwords import inside, mix, ngrams, words
 
 SHINGLE, THRESHOLD, TARGET = 5, 0.8, 0.9999
@@ -89,6 +89,7 @@ def _labels(m: int) -> tuple[np.ndarray, np.ndarray]:
 def _signatures(m: int):
     flip, factor = _labels(m)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             for lo, hi, sh, cut, whole in shingles(x.column("text")):
@@ -108,6 +109,7 @@ def _signatures(m: int):
 
 
 def _prefixes(trees: int, depth: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             if not x.num_rows:
@@ -126,6 +128,7 @@ def _prefixes(trees: int, depth: int):
     return run
 
 
+@lean
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One edge per text to the smallest text of its part of the prefix's group."""
     for t, cut in whole_groups(batches, ["tree", "prefix"]):
@@ -145,6 +148,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"u": nodes[off], "v": root[off]})
 
 
+@lean
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's shingle set, once for every cell it belongs to."""
     for x in batches:
@@ -183,6 +187,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _verify(threshold: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in whole_groups(batches, ["component", "x", "y"]):
             for a, b in zip(cut[:-1], cut[1:], strict=True):

@@ -26,6 +26,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import lean
+
 META = "▁".encode()
 
 
@@ -197,6 +199,7 @@ def _encoded(texts: list[str | None], e: Encoder, limit: int = 1 << 19) -> Itera
 
 
 def _digests(model: bytes):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         hexed = lambda b: hashlib.sha256(b).hexdigest()
@@ -214,6 +217,7 @@ def _digests(model: bytes):
 
 
 def _full(model: bytes, names: list[str]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for x in batches:

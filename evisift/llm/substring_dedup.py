@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrowstream import blobs, whole_groups
-from .runtime import Scratch
+from .runtime import Scratch, lean
 from .textwords import Words, inside, ngrams, words
 
 # A perfect difference set.
@@ -111,6 +111,7 @@ def _anchor_records(buckets: int, docs_in: int):
             where = (h[some] >> np.uint64(32)) % np.uint64(buckets)
             yield from _packed(where.astype(np.int64), kind, h[some].astype(np.uint32), doc[some], pos[some])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for x in batches:
@@ -136,6 +137,7 @@ def _anchor_records(buckets: int, docs_in: int):
 def _repeated_anchors(docs_in: int):
     """Answers for the anchors that occur again anywhere; answers from before pass through."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = _Gathered(docs_in)
         for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
@@ -159,6 +161,7 @@ def _repeated_anchors(docs_in: int):
 def _later_windows(docs_in: int):
     """Answers for every occurrence of a window after its earliest one; answers from before pass through."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = _Gathered(docs_in)
         for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
@@ -242,6 +245,7 @@ def _window_records(buckets: int, docs_in: int):
         first = ~later
         yield from _packed((other[first] % np.uint64(buckets)).astype(np.int64), 0, h[first], doc[first], pos[first])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], [0]
 
@@ -268,6 +272,7 @@ def _window_records(buckets: int, docs_in: int):
     return run
 
 
+@lean
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def each(known: _Answered, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
         own = _ids(ids)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, lean
 from .textwords import _powers
 
 ORDERS, BITS, RANGES = (3, 4, 5, 6), 20, 1024
@@ -81,6 +81,7 @@ def buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield np.r_[0, np.cumsum(np.maximum(0, size - n + 1))], bucket[keep]
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the task's rows by class and bucket, and in range -1 the number of rows of each class."""
     total, rows = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
@@ -104,6 +105,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"range": pa.array([-1], pa.int32()), "counts": pa.array([rows.tobytes()], pa.binary())})
 
 
+@lean
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the arrays of each range; the rows come sorted by range."""
     now, total = None, None
@@ -120,6 +122,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _significant(n: tuple[int, int]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = (1 << BITS) // RANGES
         for x in batches:
@@ -153,6 +156,7 @@ def _table(chosen: np.ndarray) -> np.ndarray:
 
 
 def _features(chosen: np.ndarray):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(chosen)
         for x in batches:
@@ -203,6 +207,7 @@ def fit(training: DataFrame, scratch: Scratch, max_features: int = 8192, max_fit
 
 
 def _scorer(model: ToxicityModel, keep: list[str]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, worth = _table(model.buckets), model.weights * model.ratios
         for x in batches:
