@@ -3,9 +3,10 @@
 * Codes: on a bounded sample (``max_fit_rows``, a parameter) a rotation is learned that turns principal components into
   balanced binary codes (alternating signs and an orthogonal Procrustes step).  Several rotations from different
   starts give independent codes.  Every valid vector is coded.
-* Tables: codes are cut into substrings of s bits, about log2 of the largest label's rows, one table each; vectors of a
-  label that agree on a table's substring meet.  A bit flips with chance angle/pi, so the number of tables, and with it
-  of rotations, is what brings the chance to meet at the threshold to ``TARGET``.
+* Tables: codes are cut into substrings of s bits, at most log2 of the largest label's rows, one table each; vectors of
+  a label that agree on a table's substring meet.  A bit flips with chance angle/pi, the angle being that of the centred
+  vectors, which grows with what all vectors have in common.  It is taken from the sample, and the number of tables, and
+  with it of rotations, is what brings the chance to meet at the threshold to ``TARGET``.
 * Rerank: cosine in double precision of the original vectors.  A pair is counted in the first table where it meets, so
   links are counted without a list of pairs: each task returns a number of links and one edge per vector.
 * A bucket of more than ``CELL`` vectors is split into blocks and every two blocks meet in a task of their own.
@@ -30,6 +31,8 @@ from .components import components, roots
 from .runtime import Scratch, lean
 
 THRESHOLD, TARGET, CELL = 0.98, 0.9999, 512
+#: What sending a row to a table costs in comparisons, and a number of tables that no plan reaches.
+SEND, MOST = 64, 1 << 14
 
 
 def learn_codes(x: np.ndarray, rotations: int, rounds: int = 50, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -48,12 +51,46 @@ def learn_codes(x: np.ndarray, rotations: int, rounds: int = 50, seed: int = 7)
     return mean, np.concatenate(out, 1)
 
 
-def plan_tables(rows: int, d: int, threshold: float = THRESHOLD, target: float = TARGET) -> tuple[int, int, int]:
-    """Bits of a substring, number of tables and of rotations."""
-    bits = max(1, min(d, 62, math.ceil(math.log2(max(rows, 2))) - 1))
-    same = (1 - math.acos(threshold) / math.pi) ** bits
-    tables = max(1, math.ceil(math.log(1 - target) / math.log(1 - same)))
-    return bits, tables, math.ceil(tables / (d // bits))
+def flip_rates(x: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """The chance that a bit of each centred unit vector differs from that of a vector just at the threshold.
+
+    Centring keeps the distance of the two but shortens both, so the angle grows with what the vectors have in common.
+    It is largest, asin(distance / length), where the pair is seen along the tangent; 90 degrees at most are taken.
+    """
+    distance = math.sqrt(2 - 2 * threshold)
+    return np.arcsin(np.minimum(1, distance / np.maximum(np.linalg.norm(x, axis=1), 1e-12))) / math.pi
+
+
+def plan_tables(x: np.ndarray, label: np.ndarray, rows: int, threshold: float = THRESHOLD, target: float = TARGET) -> tuple[int, int, int]:
+    """Bits of a substring, number of tables and of rotations, for centred unit vectors x of a sample and their labels.
+
+    The tables bring the mean chance to meet at the threshold to the target in every label of 64 vectors or more, and
+    in the others together.  Of the widths of a substring the cheapest is taken: a row sent costs about SEND
+    comparisons, and both grow with dimensions and tables.  No bits, one table, compares a label's vectors all.
+    """
+    d = x.shape[1]
+    flip = flip_rates(x, threshold)
+    _, group, size = np.unique(label, return_inverse=True, return_counts=True)
+    group = np.unique(np.where(size[group] >= 64, group, -1), return_inverse=True)[1]
+    size = np.bincount(group)
+    order = np.lexsort((np.random.default_rng(5).random(len(x)), label))
+    i, j = order[:-1][label[order[1:]] == label[order[:-1]]], order[1:][label[order[1:]] == label[order[:-1]]]
+    length = np.maximum(np.linalg.norm(x, axis=1), 1e-12)
+    agree = 1 - np.arccos(np.clip(np.einsum("ij,ij->i", x[i], x[j]) / (length[i] * length[j]), -1, 1)) / math.pi if len(i) else np.full(1, 0.5)
+    best = (float((SEND + rows) * (d + 1)), 0, 1)
+    for bits in range(1, max(1, min(d, 62, math.ceil(math.log2(max(rows, 2))) - 1)) + 1):
+        miss = 1 - (1 - flip) ** bits
+        enough = lambda tables: (np.bincount(group, miss**tables) / size).max() <= 1 - target  # noqa: B023, E731
+        low, high = 0, 1
+        while high < MOST and not enough(high):
+            low, high = high, 2 * high
+        if high >= MOST:
+            break
+        while high - low > 1:
+            low, high = (low, (low + high) // 2) if enough((low + high) // 2) else ((low + high) // 2, high)
+        best = min(best, (high * (SEND + rows * float((agree**bits).mean())) * (d + high), bits, high))
+    _, bits, tables = best
+    return bits, tables, math.ceil(tables / (d // max(1, bits)))
 
 
 def unit(column: pa.Array, d: int) -> np.ndarray:
@@ -65,7 +102,7 @@ def unit(column: pa.Array, d: int) -> np.ndarray:
 
 def _codes(mean: np.ndarray, matrix: np.ndarray, bits: int, tables: int, d: int):
     weight = (1 << np.arange(bits)).astype(np.int64)
-    per = d // bits
+    per = d // max(1, bits)
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +175,11 @@ def near_links(vectors: DataFrame, d: int, scratch: Scratch, threshold: float =
     name = f"d{d}"
     rows = [r["n"] for r in vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"), F.sum("n").alias("m")).select("n").collect()]
     total = vectors.count()
-    bits, tables, rotations = plan_tables(rows[0] or 1, d, threshold)
     share = min(1.0, max_fit_rows / max(1, total))
-    sample = vectors.where(F.expr(f"pmod(xxhash64(vec_id), 1048576) < {math.ceil(share * 1048576)}")).select("embedding").toArrow().column(0).combine_chunks()
-    mean, matrix = learn_codes(unit(sample, d), rotations)
+    sample = vectors.where(F.expr(f"pmod(xxhash64(vec_id), 1048576) < {math.ceil(share * 1048576)}")).select("embedding", F.xxhash64("label").alias("label")).toArrow()
+    x = unit(sample.column("embedding").combine_chunks(), d)
+    bits, tables, rotations = plan_tables(x - x.mean(0), sample.column("label").to_numpy(), rows[0] or 1, threshold)
+    mean, matrix = learn_codes(x, rotations)
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
     schema = f"vec_id long, label {kinds['label']}, embedding {kinds['embedding']}, codes array<bigint>"
     coded = scratch.table(vectors.mapInArrow(_codes(mean, matrix, bits, tables, d), schema), f"{name}-codes")

@@ -328,6 +328,22 @@ def test_embeddings(spark):
     assert embedding_dedup.op10_embedding_near_dedup(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("common", [0.8, 0.9])
+def test_embeddings_with_a_common_mean(spark, common):
+    rng = np.random.default_rng(1)
+    norm = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    d, base = 64, norm(rng.normal(size=(1, 64)))
+    own = rng.normal(size=(1500, d))
+    x = norm(common**0.5 * base + (1 - common) ** 0.5 * norm(own - (own @ base.T) * base))
+    off = rng.normal(size=(1500, d))
+    x = np.concatenate([x, 0.981 * x + (1 - 0.981**2) ** 0.5 * norm(off - np.einsum("ij,ij->i", off, x)[:, None] * x)])
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.op10_embedding_near_dedup(df).collect()}
+    assert near.sum() >= 3000 and sum(got.values()) >= 0.999 * near.sum() and all(got[k] <= near[k].sum() for k in range(3000))
+
+
 def brute_classes(rows):
     sets, same = {}, {}
     for d, t in rows:
