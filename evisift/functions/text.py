@@ -152,14 +152,14 @@ def readability(text: Column) -> dict[str, Column]:
     alnum, n = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", "")), hits(t, r"\S+")
     single = hits(t, r"(?<!\S)[^\p{L}\p{N}_\s]*[\p{L}\p{N}_][^\p{L}\p{N}_\s]*(?!\S)")
     # Runs of two letters and more, one blank apart; no branches, so that generated code works them out once.
-    joined = F.trim(F.regexp_replace(t, "(?:[^A-Za-z]|(?<![A-Za-z])[A-Za-z](?![A-Za-z]))+", " "))
+    joined = F.trim(F.regexp_replace(F.regexp_replace(t, "(?<![A-Za-z])[A-Za-z](?![A-Za-z])", " "), "[^A-Za-z]+", " "))
     letters = F.length(F.translate(joined, " ", ""))
     empty = (joined == "").cast("int")
     count = F.length(joined) - letters + 1 - empty
     length = letters / F.greatest(count, F.lit(1))
     unique = F.size(F.array_distinct(F.split(F.lower(joined), " "))) - empty
     ratio, one = alnum / F.greatest(F.length(t), F.lit(1)), single / F.greatest(n, F.lit(1))
-    spaced = t.rlike(r"(?:\b[A-Za-z]\b[\s\W]*){10,}")
+    spaced = t.rlike(r"(?:\b[A-Za-z]\b[\s\W]*){10}")
     score = 0.40 * F.least(F.lit(1.0), ratio) + 0.30 * F.least(F.lit(1.0), length / 5.0) + 0.20 * (1.0 - F.least(F.lit(1.0), one)) + 0.10 * F.least(F.lit(1.0), unique / 20.0)
     return {
         "alnum_count": alnum, "alnum_ratio": ratio, "word_count": n, "single_char_token_ratio": one, "avg_alpha_word_length": length,

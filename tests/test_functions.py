@@ -126,6 +126,43 @@ def test_greedy_choice(spark):
     assert {r.section for r in got[:4]} == {"method", "results"} and "twin" not in {r.chunk_id for r in got}
 
 
+def test_long_spaced_text(spark):
+    got = one(spark, text.readability(F.lit("a " * 20_000))["readability_score"])
+    assert got is not None and 0 < got < 1
+
+
+def brute_choice(rows, k, budget):
+    rows = sorted(rows, key=lambda r: (-r[4], r[1]))
+    picked = []
+    for level in range(3):
+        for r in rows:
+            if len(picked) >= k or r in picked or sum(p[5] for p in picked) + r[5] > budget:
+                continue
+            words = set(r[6].lower().split())
+            twin = any(len(words & set(p[6].lower().split())) >= 0.82 * max(1, len(words | set(p[6].lower().split()))) for p in picked)
+            near, same = sum(p[3] // 2 == r[3] // 2 for p in picked) >= 2, sum(p[2] == r[2] for p in picked) >= 2
+            if not (level < 2 and (twin or same) or level < 1 and near):
+                picked.append(r)
+    return [(r[1], n + 1, rows.index(r) + 1) for n, r in enumerate(picked)]
+
+
+def test_greedy_choice_beyond_the_first_rows(spark):
+    text = lambda k: " ".join(f"w{k}{j}" for j in range(5))
+    make = lambda p, k, section, page, score, cost, t: (p, f"c{k:04d}", section, page, score, cost, t)
+    papers = {
+        "copies": [make("copies", k, f"s{k % 7}", k, 2.0, 1.0, text(0)) for k in range(450)] + [make("copies", k, f"s{k % 7}", k, 1.0 - k / 1e4, 1.0, text(k)) for k in range(450, 520)],
+        "section": [make("section", k, "one" if k < 450 else f"s{k}", k, 1.0 - k / 1e4, 1.0, text(k)) for k in range(470)],
+        "page": [make("page", k, f"s{k}", 0 if k < 450 else k, 1.0 - k / 1e4, 1.0, text(k)) for k in range(456)],
+        "cost": [make("cost", k, f"s{k}", k, 1.0 - k / 1e4, 99.0 if k < 450 else 5.0, text(k)) for k in range(470)],
+        "few": [make("few", k, "one", 0, 1.0 - k / 1e4, 1.0, text(0)) for k in range(15)],
+        "flat": [make("flat", k, "one", k, 0.5, 1.0, text(k % 3)) for k in range(450)],
+    }
+    df = spark.createDataFrame([r for rows in papers.values() for r in rows], "paper_id string, chunk_id string, section string, page int, score double, cost double, text string")
+    got = retrieval.diverse_selection(df, 10, 40.0).orderBy("pick").collect()
+    for p, rows in papers.items():
+        assert [(r.chunk_id, r.pick, r.retrieval_rank) for r in got if r.paper_id == p] == brute_choice(rows, 10, 40.0), p
+
+
 def test_schema_and_flatten(spark):
     v = [{"domain": "population", "variable_name": "size", "variable_type": "int", "instruction": "x"}, {"domain": "population", "variable_name": "groups", "variable_type": "list", "instruction": "x"}]
     schema = extraction.compile_schema(v)
