@@ -8,8 +8,11 @@
 3. Search: every document is cut into overlapping windows of two widths.  Projection and comparison are one product,
    words by passages, of which short runs of words are summed once and windows put together from runs; cosines of at
    least ``CANDIDATE`` give candidates.
+   Items of at most ``BRIEF`` words, which other words of a window outweigh, are found by the share of their own weight
+   that a window holds, ``COVERED`` or more, without the latent space: a verbatim one always has all of it.
 4. Checks, on the words around the window: the longest common subsequence with the item must be ``COPIED`` of the item,
    or ``PARAPHRASED`` of it with the answer, the item's last words, found in order as well.
+   Brief items found by their share are checked on spans of one and a half times their length.
 
 What travels to the tasks is the benchmark's side only.  Its size is checked: blocks are gathered into groups of at
 most ``RESIDENT_MB``, and documents are passed over once a group.
@@ -44,6 +47,8 @@ SCALES = ((24, 8), (WIDTH, STRIDE))
 STEP = 8
 BLOCK, ENERGY, ROUNDS = 256, 0.99, 3
 CANDIDATE = 0.22
+#: FLOOR: what a word weighs besides its squared idf, so that words of all documents count too.
+BRIEF, COVERED, FLOOR = 24, 0.5, 0.05
 COPIED, PARAPHRASED, ANSWERED = 0.7, 0.5, 0.8
 SHORTEST = 5
 RESIDENT_MB = 64
@@ -251,11 +256,31 @@ class _Item:
         return 0.0
 
 
-def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], items: list[list[_Item]]) -> dict[int, dict[int, tuple[float, float]]]:
+    def check_close(self, text: list[int]) -> float:
+        """The best check of the spans of one and a half times the item's length; more of a text may hold its words by chance."""
+        best = self.check(text)
+        if not best:
+            return 0.0
+        size = self.n + self.n // 2
+        return max((self.check(text[k : k + size]) for k, h in enumerate(text) if h in self.masks), default=0.0)
+
+
+def _cover(b: Block, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The brief items, and the share of each one's weight that an occurrence of each word adds; the last row is zero."""
+    brief = np.array([j for j, h in enumerate(b.items) if len(h) <= BRIEF], np.int64)
+    share = np.zeros((len(b.terms) + 1, len(brief)), np.float32)
+    for k, j in enumerate(brief):
+        bucket = _bucket(b.items[j])
+        weight = idf[bucket].astype(float) ** 2 + FLOOR
+        share[np.searchsorted(b.terms, bucket), k] = weight / weight.sum()
+    return brief, share
+
+
+def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], items: list[list[_Item]]) -> dict[int, dict[int, tuple[float, float]]]:
     """Row: item_id: cosine and share of each item found in the rows of w.
 
     tables: of each block, the row of each bucket in the matrix of words by passages, whose last row is zero, for the
-    words that the block lacks.  Runs of STEP words are summed once, and windows are sums of runs.
+    words that the block lacks; and the brief items and their matrix.  Runs of STEP words are summed once, and windows are sums of runs.
     """
     found: dict[int, dict[int, tuple[float, float]]] = {}
     n = np.diff(w.first)
@@ -268,7 +293,7 @@ def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np
     inside = at < w.first[row + 1][:, None]
     bucket = np.where(inside, _bucket(w.hashes)[np.minimum(at, len(w.hashes) - 1)], 0)
     square = np.where(inside, idf[bucket].astype(float) ** 2, 0).sum(1)
-    for block, (number, matrix), own in zip(blocks, tables, items, strict=True):
+    for block, (number, matrix, brief, cover), own in zip(blocks, tables, items, strict=True):
         places = np.where(inside, number[bucket], len(matrix) - 1)
         sums = matrix[places[:, 0]]
         for k in range(1, STEP):
@@ -303,9 +328,33 @@ def search(w: Words, blocks: list[Block], idf: np.ndarray, tables: list[tuple[np
                         share = max(share, own[i].check(text))
                     if share > 0:
                         have[block.ids[i]] = (max(old[0], cosine), share)
+        if len(brief):
+            _search_brief(found, w, block, idf, cover, brief, own, places, row, place)
     return found
 
 
+def _search_brief(found: dict, w: Words, block: Block, idf: np.ndarray, cover: np.ndarray, brief: np.ndarray, own: list[_Item], places: np.ndarray, row: np.ndarray, place: np.ndarray) -> None:
+    """Adds the brief items of which a window of BRIEF words, from each run on, holds COVERED of their weight."""
+    runs = cover[places[:, 0]]
+    for k in range(1, STEP):
+        runs += cover[places[:, k]]
+    held = runs.copy()
+    for k in range(1, BRIEF // STEP):
+        held[:-k] += runs[k:] * (row[k:] == row[:-k])[:, None]
+    for at, j in zip(*(a.tolist() for a in np.nonzero(held >= COVERED)), strict=True):
+        r, i = int(row[at]), int(brief[j])
+        have = found.setdefault(r, {})
+        old = have.get(block.ids[i], (0.0, 0.0))
+        if old[1] == 1:
+            continue
+        begin = int(w.first[r] + place[at] * STEP)
+        end, n = min(begin + BRIEF, int(w.first[r + 1])), own[i].n
+        share = own[i].check_close(w.hashes[max(int(w.first[r]), begin - n) : min(int(w.first[r + 1]), end + n)].tolist())
+        if share > 0:
+            cosine = float(_cosines(_bucket(w.hashes[begin:end]), idf, block, np.flatnonzero(block.item == i)).max())
+            have[block.ids[i]] = (max(old[0], cosine), max(old[1], share))
+
+
 def _cosines(bucket: np.ndarray, idf: np.ndarray, block: Block, passages: np.ndarray) -> np.ndarray:
     """Cosines of a window with passages in the latent space, by the window's full norm."""
     term, n = np.unique(bucket, return_counts=True)
@@ -324,7 +373,7 @@ def _judge(blocks: list[Block], idf: np.ndarray, names: list[str]):
             number = np.full(1 << BITS, len(b.terms), np.int64)
             number[b.terms] = np.arange(len(b.terms))
             by_passage = (b.basis @ b.latent.T) * idf[b.terms][:, None]
-            tables.append((number, np.r_[by_passage, np.zeros((1, by_passage.shape[1]))].astype(np.float32)))
+            tables.append((number, np.r_[by_passage, np.zeros((1, by_passage.shape[1]))].astype(np.float32), *_cover(b, idf)))
         items = [[_Item(h) for h in b.items] for b in blocks]
         for x in batches:
             for w in _words(x.column("__text")):

@@ -393,6 +393,19 @@ def test_components(spark):
     assert components(df.limit(0), Scratch(spark, "cc")).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 8, 10, 12, 20])
+def test_brief_items_that_many_documents_hold(spark, n):
+    """A verbatim item is found among rare words, however common its own are; its words elsewhere are not."""
+    item = [f"common{k}" for k in range(n)]
+    own = lambda d, a, b: [f"rare{d}x{k}" for k in range(a, b)]
+    texts = [own(d, 0, 30 + d % 17) + item + own(d, 60, 100) if d % 3 == 0 else own(d, 0, 90) for d in range(90)]
+    texts += [[w for k, word in enumerate(item) for w in (word, *own(900, 5 * k, 5 * k + 5))], own(901, 0, 30) + item[::-1] + own(901, 30, 60)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "not in any text of these")], "item_id long, text string")
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontamination.find_leaks(df, bench, Scratch(spark, "t")).collect()}
+    assert got == {d: [1] if d < 90 and d % 3 == 0 else [] for d in range(92)}
+
+
 def test_leaks_in_several_groups(spark, monkeypatch):
     """A benchmark that does not fit at once is searched group by group, with the same result."""
     rng = random.Random(8)
