@@ -632,7 +632,7 @@ def snake_keys(pages):
 @query()
 def ascii_folded_names(documents):
     """Unicode normal forms have no SQL."""
-    return documents.select("doc_id", F.substring(udfs.folded(F.substring("text", 1, 200)), 1, 60).alias("folded"))
+    return documents.select("doc_id", udfs.folded("text").alias("folded"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size < 10 AND p_size % 2 = 0 THEN 'both_missing' WHEN p_size < 10 THEN 'rescue_filled_missing' WHEN p_size % 2 = 0 THEN 'primary_only' WHEN lower(p_name) = lower(p_type) THEN 'same_value' WHEN p_size % 3 = 0 THEN 'rescue_has_quote' ELSE 'primary_kept' END AS rescue FROM part")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evisift.functions import stats, text, udfs, values
 from evisift.operators import evidence, extraction, linkage, operations, relational, retrieval
+from evisift.plans import registry
 from evisift.sources import records
 from evisift.streaming import incremental
 
@@ -131,6 +132,18 @@ def test_long_spaced_text(spark):
     assert got is not None and 0 < got < 1
 
 
+def test_whole_texts_are_folded(spark, tmp_path):
+    import re
+    import unicodedata
+
+    texts = ["Über " * 400 + "Ende.pdf", "é" * 500 + " ﬁn\u0301", "x" * 300 + ".PDF", "", None, "a-b_c " * 90]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.folded for r in registry.QUERIES["ascii_folded_names"](spark, str(tmp_path)).collect()}
+    for k, t in enumerate(texts):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", t or "") if ord(c) < 128).lower()
+        assert got[k] == " ".join(re.findall("[a-z0-9]+", plain[:-4] if plain.endswith(".pdf") else plain)), k
+
+
 def brute_choice(rows, k, budget):
     rows = sorted(rows, key=lambda r: (-r[4], r[1]))
     picked = []
