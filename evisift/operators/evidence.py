@@ -1,6 +1,6 @@
 """Evidence lines, hints and windows, all within each document's row.
 
-Operators: J20 P46 R13 R14 R15 R22 R23 R25 T10 T11 T12 T18 W10 W15 H34 H38 H60.
+Operators: J20 P46 R13 R15 R22 R23 R25 T11 W10 W15 H34 H60.
 """
 
 from __future__ import annotations

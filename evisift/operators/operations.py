@@ -1,7 +1,6 @@
 """Run catalogue, retries, resources, mismatches and review summaries.
 
-Operators: A17 A18 A19 A20 A21 A22 A23 A25 A26 A27 A28 A29 F8 F25 F26 F27 H8 H9 H12 H13 H14 H15 H16 H19 H20 H21 H22 H46 H94 J2 J7 J8 J9 J10
-J15 J23 K2 K9 K11 K12 K13 K14 K16 M9 M10 M16 P18 P19 P48 W14.
+Operators: A17 A18 A20 A21 A22 A23 A25 A27 A29 F8 F27 H9 H13 H15 H19 H20 J2 J10 J23 K11 K12 K13 M10 M16 P18 P19 P48.
 """
 
 from __future__ import annotations

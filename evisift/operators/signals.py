@@ -1,6 +1,6 @@
 """Terms, gates and caps that turn scored passages into examples.
 
-Operators: F23 F24 H38 H39 H40 H91 R18 R24 R25 T6 T7 T9 U5 W11 W12.
+Operators: F23 F24 H40 R18 R25 U5 W11 W12.
 """
 
 from __future__ import annotations

@@ -452,7 +452,7 @@ def budget_fold(conversations):
 
 @query()
 def greedy_diverse_selection(documents):
-    """T5, T8 over documents as passages of their source."""
+    """T8 without required ids and one per section, W13: documents as passages of their source."""
     m = text.readability(F.col("text"))
     chunks = documents.select(F.col("source").alias("paper_id"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("lang").alias("section"), F.pmod("doc_id", F.lit(40)).cast("int").alias("page"), _r(m["readability_score"]).alias("score"), m["word_count"].cast("double").alias("cost"), "text")
     return retrieval.diverse_selection(chunks, 10, 4000.0).drop("text")
