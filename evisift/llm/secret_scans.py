@@ -4,11 +4,12 @@ Everything is one projection of SQL expressions over each row: no shuffle, no Py
 
 * Patterns: ``assign``, ``access`` and ``hex``, leftmost non-overlapping per kind over the whole text.
 * Entropy: a candidate is a maximal run of one character class (``HEX``, ``BASE64``) of at least ``WINDOW``
-  characters with a digit in it.  A fold over its characters keeps a count per symbol of the class, and the sum of
+  characters with a digit in it, or in ``BASE64`` a capital right after a small letter.  A fold over its characters keeps a count per symbol of the class, and the sum of
   c*log2(c) changes by one entering and one leaving symbol per step: H = log2(w) - sum/w.  Windows at or over the
   class's limit are hot; hot windows that touch or overlap are one span of kind ``hexent`` or ``b64ent``.
-* Allow list: a candidate that matches one of ``ALLOW`` (UUIDs, dates, placeholders), or follows a digest label, or a
-  span within a pattern's span, is suppressed.  Pattern spans are never suppressed.
+* Allow list: a candidate that matches an anchored one of ``ALLOW`` (UUIDs, dates), or follows a digest label, or a
+  span within a pattern's span, is suppressed.  Of the others (placeholders) only the part between / = _ and - that
+  holds the match is left out; what is before and after it is judged by itself.  Pattern spans are never suppressed.
 
 Cases: null text is empty; an empty text has no span, an empty ``spans`` and the digest of the empty string; very
 long texts and repeated rows are scanned whole, each row by itself, so ties need no rule; an empty table gives no
@@ -35,7 +36,7 @@ WINDOW = 20
 #: Kind: alphabet, least entropy in bits of a window, candidate pattern.
 CLASSES = {
     "hexent": ("0123456789abcdef", 3.0, r"(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])[0-9a-fA-F]{%d,}+(?![0-9A-Za-z])"),
-    "b64ent": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.9, r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*[0-9])[A-Za-z0-9+/=_-]{%d,}+"),
+    "b64ent": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.9, r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/=_-]{%d,}+"),
 }
 ALLOW = [
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
@@ -66,9 +67,18 @@ def hot_windows(run: str, alphabet: str, limit: float, window: int) -> str:
 
 def _entropy_spans(text: str, kind: str, allow: list[str], window: int) -> str:
     alphabet, limit, pattern = CLASSES[kind]
-    ok = " and ".join([f"not c.m rlike {lit(x)}" for x in allow] + [f"not substring({text}, greatest(1, c.a - 15), least(16, c.a)) rlike {lit(DIGEST_LABEL)}"])
+    whole = [x for x in allow if "_" not in alphabet or x.startswith(("^", "(?i)^"))]
+    ok = " and ".join([f"not c.m rlike {lit(x)}" for x in whole] + [f"not substring({text}, greatest(1, c.a - 15), least(16, c.a)) rlike {lit(DIGEST_LABEL)}"])
     kept = f"filter({spans(text, pattern % window)}, c -> {ok})"
-    return f"flatten(transform({kept}, c -> transform({hot_windows('c.m', alphabet, limit, window)}, h -> named_struct('a', c.a + h.a, 'b', c.a + h.b, 'm', ''))))"
+    words = [x for x in allow if x not in whole]
+    hot = lambda m, at: f"transform({hot_windows(m, alphabet, limit, window)}, h -> named_struct('a', {at} + h.a, 'b', {at} + h.b, 'm', ''))"
+    if words:
+        part = "(?<![^/=_-])[^/=_-]*?(?:" + "|".join(f"(?:{x})" for x in words) + ")[^/=_-]*+"
+        begin = "if(i = 0, 0, get(p, i - 1).b)"
+        gaps = f"transform(sequence(0, size(p)), i -> named_struct('a', c.a + {begin}, 'm', substring(c.m, {begin} + 1, if(i < size(p), get(p, i).a, length(c.m)) - {begin})))"
+        left = let(spans("c.m", part), "p", f"filter({gaps}, x -> length(x.m) >= {window})")
+        kept = f"flatten(transform({kept}, c -> {left}))"
+    return f"flatten(transform({kept}, c -> {hot('c.m', 'c.a')}))"
 
 
 def _kind(array: str, no: int) -> str:
@@ -84,7 +94,7 @@ def find_secrets(df: DataFrame, text: str = "text", allow: list[str] | None = No
     base = [_kind(assign, 0), _kind(spans(t, ACCESS), 1), _kind(spans(t, HEX), 2)]
     df = df.withColumn("__base", F.expr(f"concat({', '.join(base)})"))
     more = f"concat({_kind(_entropy_spans(t, 'hexent', allow, window), 3)}, {_kind(_entropy_spans(t, 'b64ent', allow, window), 4)})"
-    added = f"if({t} rlike {lit(r'[0-9A-Za-z+/=_-]{%d}' % window)} and {t} rlike '[0-9]', filter({more}, e -> not exists(__base, s -> s.a <= e.a and e.b <= s.b)), cast(array() as array<struct<a:int,k:int,b:int>>))"
+    added = f"if({t} rlike {lit(r'[0-9A-Za-z+/=_-]{%d}' % window)} and {t} rlike '[0-9]|[a-z][A-Z]', filter({more}, e -> not exists(__base, s -> s.a <= e.a and e.b <= s.b)), cast(array() as array<struct<a:int,k:int,b:int>>))"
     return df.withColumn("secrets", F.expr(f"array_sort(concat(__base, {added}))")).drop("__base", t)
 
 

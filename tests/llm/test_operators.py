@@ -103,6 +103,15 @@ def test_secret_allow_list_and_redaction(spark):
     assert got == {1: "id 123e4567-e89b-12d3-a456-426614174000", 2: "k [SECRET] z", 3: None, 4: "sha256:aB3dE5gH7jK9mN1pQ3sT5vX7zL0wR2"}
 
 
+def test_secrets_beside_allowed_words(spark):
+    key = "aB3dE5gH7jK9mN1pQ3sT5vX7zL0wR2uY4cF6iO8b"
+    texts = [f"q sample_key={key} z", f"get /samples/{key} z", "w qWeRtYuIoPaSdFgHjKlZxCvBnM z", f"my-example-{key[:12]} z", f"q {key[:20]}EXAMPLE{key[20:]} z", "an/ordinary/path-of-small-letters_only z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scans.redact_secrets(df).collect()}
+    assert all("[SECRET]" in got[k] for k in range(3)) and not any(key[k : k + 20] in got[j] for j in (0, 1) for k in range(21)) and "RtYuIoPaSdFgHjKlZxCv" not in got[2]
+    assert [got[k] for k in (3, 4, 5)] == texts[3:]
+
+
 def luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
