@@ -4,25 +4,30 @@ A window is ``WINDOW`` consecutive words.  Residues ``COVER`` modulo ``PERIOD``
 places of equal windows there is one shift below PERIOD at which both places have a cover residue; with an anchor of
 ``ANCHOR`` = WINDOW - PERIOD + 1 words, that shared anchor lies within both windows.  Hence:
 
-1. Anchors are hashed only at cover positions (4 of 13) and those that occur more than once are found.
-2. They are extended: only windows that hold a repeated anchor are hashed, with a 64-bit hash, and a bucket number
-   from another one; every occurrence but the earliest (doc_id, start) of a window is a repeat.
+1. Anchors are hashed only at cover positions (4 of 13), dealt out by their hash, and those that occur more than once
+   are found.
+2. They are extended: every window that holds a repeated anchor is compared with all others, by 128 bits made of two
+   independent hashes of each of its words, and every occurrence but the earliest (doc_id, start) is a repeat.
 3. The words of repeated windows are removed.
 
-Records travel packed, one row per task, slice and bucket; buckets are by hash and small.  Within a slice of text,
-occurrences of one hash are reduced before the shuffle: in step 1 to one record, in step 2 to the earliest one, and
-the others are answered on the spot.  So a passage that a third of all documents share sends one record per slice.
-Answers meet the texts in one shuffle by doc_id: in each bucket the answers are sorted first, texts stream behind.
+One record is one row, so the rows of each step are at most the anchors and windows of the input, however many
+partitions there are.  Within a slice of text, occurrences of one hash are reduced before the shuffle: in step 1 to one
+record, in step 2 to the earliest one, and the others are answered on the spot.  So a passage that a third of all
+documents share sends one record per slice.  Answers (document, place) are gathered per document, which bounds them by
+its words, and meet the texts in a join.
+
+A document is known by its doc_id and a hash of its text, so that documents without an id, or with one and the same,
+are not mistaken for each other.
 
 Cases: null text has no words; a text of fewer than WINDOW words has no window; null doc_id counts as the smallest
-id; rows that repeat a doc_id and text are one document, so neither copy precedes the other; very long texts are whole
+id; rows that repeat a doc_id and text are one document, so neither copy precedes the other; of different texts with
+one doc_id the window that starts earlier in its text precedes, at equal starts neither; very long texts are whole
 slices; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowstream import blobs, whole_groups
+from .arrowstream import whole_groups
 from .runtime import Scratch, lean
 from .textwords import Words, inside, ngrams, words
 
@@ -39,245 +44,147 @@ from .textwords import Words, inside, ngrams, words
 PERIOD, COVER = 13, (0, 1, 3, 9)
 WINDOW = 20
 ANCHOR = WINDOW - PERIOD + 1
-_SECOND = 0xA0761D6478BD642F
-#: Words worked on before records are packed; bounds a task's memory and is what a hot hash is reduced over.
+#: Words worked on before records are handed on; bounds a task's memory and is what a hot hash is reduced over.
 CHUNK_WORDS = 1 << 21
-PACKED = "bucket int, kind int, hash binary, doc binary, pos binary"
+#: Rows handed on at once.
+SENT = 1 << 16
+#: Kinds of rows: a hash met once, a place known to be a repeat, a hash that is known to repeat and asks for no answer.
+ONCE, ANSWER, KNOWN = 0, 1, 2
 NULL_ID = -(1 << 63)
 
 
-def _packed(bucket: np.ndarray, kind: int, hashes: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row per bucket with the arrays of its records."""
-    if len(bucket):
-        order = np.argsort(bucket, kind="stable")
-        b = bucket[order]
-        cut = np.r_[np.flatnonzero(np.r_[True, b[1:] != b[:-1]]), len(b)]
-        cols = [(hashes[order], "hash"), (doc[order], "doc"), (pos[order], "pos")]
-        out = {"bucket": pa.array(b[cut[:-1]].astype(np.int32)), "kind": pa.array(np.full(len(cut) - 1, kind, np.int32))}
-        for v, name in cols:
-            out[name] = pa.array([v[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-        yield pa.record_batch(out)
-
+def _table(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The columns in batches; 64-bit hashes go as signed numbers."""
+    own = {k: v.view(np.int64) if v.dtype == np.uint64 else v for k, v in columns.items()}
+    for at in range(0, len(next(iter(own.values()))), SENT):
+        yield pa.record_batch({k: pa.array(v[at : at + SENT]) for k, v in own.items()})
 
-def _answers(doc: np.ndarray, pos: np.ndarray, docs_in: int) -> Iterator[pa.RecordBatch]:
-    """Places that are known to be repeats, on their way to the bucket of their document."""
-    yield from _packed(doc_bucket(doc, docs_in), 1, np.zeros(len(doc), np.uint8), doc, pos)
 
+def _places(w: Words, refs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of n-grams within one row: index of their first word in w, its row's ref and place in the text."""
+    at = np.flatnonzero(inside(w, n))
+    row = w.row_of()[at]
+    return at, refs[w.lo + row], (at - w.first[row]).astype(np.int32)
 
-class _Gathered:
-    """Answers of several buckets, packed together."""
 
-    def __init__(self, docs_in: int):
-        self.docs_in, self.held, self.size = docs_in, [], 0
+def _numbers(column: pa.Array) -> np.ndarray:
+    return np.ascontiguousarray(column.to_numpy(zero_copy_only=False))
 
-    def add(self, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append((doc, pos))
-        self.size += len(doc)
-        if self.size >= CHUNK_WORDS:
-            yield from self.flush()
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            yield from _answers(*(np.concatenate(c) for c in zip(*self.held, strict=True)), self.docs_in)
-        self.held, self.size = [], 0
+def _rows_of(h: np.ndarray, ref: np.ndarray, pos: np.ndarray, kind: int) -> Iterator[pa.RecordBatch]:
+    yield from _table(h=h, ref=ref, pos=pos, kind=np.full(len(h), kind, np.int32))
 
 
-def doc_bucket(doc: np.ndarray, n: int) -> np.ndarray:
-    """The same as crc32 of the id's decimal text modulo n, which the other side of the shuffle works out natively."""
-    own, back = np.unique(doc, return_inverse=True)
-    return np.array([zlib.crc32(b"%d" % k) % n for k in own.tolist()], np.int64)[back] if len(own) else np.zeros(0, np.int64)
+@lean
+def _anchor_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """h, ref, pos, kind: the anchors at cover positions, one record per hash and slice."""
 
+    def flush() -> Iterator[pa.RecordBatch]:
+        h, ref, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+        _, at, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        twice = n[back] > 1
+        yield from _rows_of(h[twice], ref[twice], pos[twice], ANSWER)
+        for kind, some in ((ONCE, at[n == 1]), (KNOWN, at[n > 1])):
+            yield from _rows_of(h[some], ref[some], pos[some], kind)
 
-def _places(w: Words, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of n-grams within one row: index of their first word in w, doc_id and place in the text."""
-    at = np.flatnonzero(inside(w, n))
-    row = w.row_of()[at]
-    return at, ids[w.lo + row], (at - w.first[row]).astype(np.uint32)
+    held, size = [], 0
+    for x in batches:
+        refs = _numbers(x.column("ref"))
+        for w in words(x.column("text")):
+            if len(w.hashes) < WINDOW:
+                continue
+            h = ngrams(w.hashes, ANCHOR)
+            at, ref, pos = _places(w, refs, ANCHOR)
+            long = np.diff(w.first)[w.row_of()[at]] >= WINDOW
+            keep = np.isin(pos % PERIOD, COVER) & long
+            held.append((h[at[keep]], ref[keep], pos[keep]))
+            size += len(w.hashes)
+            if size >= CHUNK_WORDS:
+                yield from flush()
+                held, size = [], 0
+    if held:
+        yield from flush()
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return np.ascontiguousarray(column.cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
+@lean
+def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ref, pos of the anchors met once in their slice whose hash occurs in another one; rows come sorted by hash."""
+    for t, cut in whole_groups(batches, ["h"]):
+        again = np.repeat(np.diff(cut) > 1, np.diff(cut)) & (t.column("kind").to_numpy() == ONCE)
+        yield from _table(ref=t.column("ref").to_numpy()[again], pos=t.column("pos").to_numpy()[again])
+
+
+def _later(hashes: tuple[np.ndarray, np.ndarray], doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which occurrences come after the earliest place of their window."""
+    one, two = hashes
+    order = np.lexsort((pos, doc, two, one))
+    a, b, ds, ps = one[order], two[order], doc[order], pos[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    out = np.zeros(len(order), bool)
+    out[order] = (ds != ds[first]) | (ps != ps[first])
+    return out
 
 
-def _anchor_records(buckets: int, docs_in: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        h, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
-        _, at, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-        twice = n[back] > 1
-        yield from _answers(doc[twice], pos[twice], docs_in)
-        # One record for a hash that is already known to repeat; it asks for no answer.
-        first, known = at, n > 1
-        for kind, some in ((0, first[~known]), (2, first[known])):
-            where = (h[some] >> np.uint64(32)) % np.uint64(buckets)
-            yield from _packed(where.astype(np.int64), kind, h[some].astype(np.uint32), doc[some], pos[some])
-
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for x in batches:
-            ids = _ids(x.column("doc_id"))
-            for w in words(x.column("text")):
-                if len(w.hashes) < WINDOW:
-                    continue
-                h = ngrams(w.hashes, ANCHOR)
-                at, doc, pos = _places(w, ids, ANCHOR)
-                long = np.diff(w.first)[w.row_of()[at]] >= WINDOW
-                keep = np.isin(pos % PERIOD, COVER) & long
-                held.append((h[at[keep]], doc[keep], pos[keep]))
-                n += len(w.hashes)
-                if n >= CHUNK_WORDS:
-                    yield from flush(held)
-                    held, n = [], 0
-        if held:
-            yield from flush(held)
-
-    return run
-
-
-def _repeated_anchors(docs_in: int):
-    """Answers for the anchors that occur again anywhere; answers from before pass through."""
-
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = _Gathered(docs_in)
-        for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
-            kinds = t.column("kind").to_numpy()
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                part = t.slice(a, b - a)
-                if kinds[a] == 1:
-                    yield from part.select(["bucket", "kind", "hash", "doc", "pos"]).to_batches()
-                    continue
-                h, n = blobs(part, "hash", np.uint32)
-                doc, pos = blobs(part, "doc", np.int64)[0], blobs(part, "pos", np.uint32)[0]
-                known = np.repeat(kinds[a:b] == 2, n)
-                _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-                again = ((count[back] > 1) | (np.bincount(back, known)[back] > 0)) & ~known
-                yield from late.add(doc[again], pos[again])
-        yield from late.flush()
-
-    return run
-
-
-def _later_windows(docs_in: int):
-    """Answers for every occurrence of a window after its earliest one; answers from before pass through."""
-
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = _Gathered(docs_in)
-        for t, cut in whole_groups(batches, ["bucket", "is_answer"]):
-            kinds = t.column("kind").to_numpy()
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                part = t.slice(a, b - a)
-                if kinds[a] == 1:
-                    yield from part.select(["bucket", "kind", "hash", "doc", "pos"]).to_batches()
-                    continue
-                h, doc, pos = blobs(part, "hash", np.uint64)[0], blobs(part, "doc", np.int64)[0], blobs(part, "pos", np.uint32)[0]
-                later = _later(h, doc, pos)
-                yield from late.add(doc[later], pos[later])
-        yield from late.flush()
-
-    return run
-
-
-def _later(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Which occurrences come after the earliest place of their hash."""
-    order = np.lexsort((pos, doc, h))
-    hs, ds, ps = h[order], doc[order], pos[order]
-    new = np.r_[True, hs[1:] != hs[:-1]]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(hs)), 0))
-    out = np.zeros(len(h), bool)
-    out[order] = (ds != ds[first]) | (ps != ps[first])
+def _marks(w: Words, at: pa.Array) -> np.ndarray:
+    """Which words of w begin a place that the lists of their rows name."""
+    own = at.slice(w.lo, w.hi - w.lo)
+    size = np.asarray(own.value_lengths().fill_null(0))
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.asarray(own.flatten()).astype(np.int64)
+    ok = place < np.diff(w.first)[row]
+    out = np.zeros(len(w.hashes), bool)
+    out[w.first[row[ok]] + place[ok]] = True
     return out
 
 
-class _Answered:
-    """The answers of one document bucket, looked up by document."""
-
-    def __init__(self):
-        self.bucket, self.doc, self.pos = None, np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.fresh: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, bucket: int, doc: bytes, pos: bytes) -> None:
-        if bucket != self.bucket:
-            self.bucket, self.fresh = bucket, []
-            self.doc, self.pos = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        if doc is not None:
-            self.fresh.append((np.frombuffer(doc, np.int64), np.frombuffer(pos, np.uint32)))
-
-    def settle(self) -> None:
-        if self.fresh:
-            doc, pos = (np.concatenate(c) for c in zip(*self.fresh, strict=True))
-            order = np.argsort(doc, kind="stable")
-            self.doc, self.pos, self.fresh = doc[order], pos[order], []
-
-    def marks(self, w: Words, ids: np.ndarray) -> np.ndarray:
-        """Which words of w begin a place that an answer names."""
-        own = ids[w.lo : w.hi]
-        lo, hi = np.searchsorted(self.doc, own, "left"), np.searchsorted(self.doc, own, "right")
-        out = np.zeros(len(w.hashes), bool)
-        for k in np.flatnonzero(hi > lo):
-            at = self.pos[lo[k] : hi[k]].astype(np.int64)
-            out[w.first[k] + at[at < w.first[k + 1] - w.first[k]]] = True
-        return out
-
-
-def _with_answers(batches: Iterator[pa.RecordBatch], each):
-    """each(answers, ids, texts) over runs of texts of one bucket, whose answers came before them."""
-    known = _Answered()
+@lean
+def _window_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """h, other, doc, ref, pos, kind of the windows that hold a repeated anchor, the earliest of each window and slice."""
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        h, other, doc, ref, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+        later = _later((h, other), doc, pos)
+        for some, kind in ((later, ANSWER), (~later, ONCE)):
+            yield from _table(h=h[some], other=other[some], doc=doc[some], ref=ref[some], pos=pos[some], kind=np.full(int(some.sum()), kind, np.int32))
+
+    held, size = [], 0
     for x in batches:
-        bucket, kind = x.column("bucket").to_numpy(), x.column("kind").to_numpy()
-        cut = np.r_[np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (kind[1:] != kind[:-1])]), len(bucket)] if len(bucket) else [0]
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            if kind[a] == 1:
-                for d, p in zip(x.column("doc").slice(a, b - a).to_pylist(), x.column("pos").slice(a, b - a).to_pylist(), strict=True):
-                    known.add(int(bucket[a]), d, p)
-            else:
-                known.add(int(bucket[a]), None, None)
-                known.settle()
-                yield from each(known, x.column("doc_id").slice(a, b - a), x.column("text").slice(a, b - a))
-
-
-def _window_records(buckets: int, docs_in: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        h, other, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
-        later = _later(h, doc, pos)
-        yield from _answers(doc[later], pos[later], docs_in)
-        first = ~later
-        yield from _packed((other[first] % np.uint64(buckets)).astype(np.int64), 0, h[first], doc[first], pos[first])
-
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], [0]
-
-        def each(known: _Answered, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-            own = _ids(ids)
-            for w in words(texts):
-                marks = known.marks(w, own)
-                if marks.any():
-                    at, doc, pos = _places(w, own, WINDOW)
-                    sums = np.r_[0, np.cumsum(marks)]
-                    keep = sums[at + PERIOD] > sums[at]
-                    at, doc, pos = at[keep], doc[keep], pos[keep]
-                    held.append((ngrams(w.hashes, WINDOW)[at], ngrams(w.hashes, WINDOW, _SECOND)[at], doc, pos))
-                    size[0] += len(at)
-                    if size[0] >= CHUNK_WORDS:
-                        yield from flush(held)
-                        held.clear()
-                        size[0] = 0
-
-        yield from _with_answers(batches, each)
-        if held:
-            yield from flush(held)
-
-    return run
+        refs, docs = _numbers(x.column("ref")), _numbers(x.column("doc"))
+        for w in words(x.column("text"), lanes=2):
+            marks = _marks(w, x.column("at"))
+            if not marks.any():
+                continue
+            at, ref, pos = _places(w, refs, WINDOW)
+            doc = docs[w.lo + w.row_of()[at]]
+            sums = np.r_[0, np.cumsum(marks)]
+            keep = sums[at + PERIOD] > sums[at]
+            at = at[keep]
+            held.append((ngrams(w.hashes, WINDOW)[at], ngrams(w.second, WINDOW, 2)[at], doc[keep], ref[keep], pos[keep]))
+            size += len(at)
+            if size >= CHUNK_WORDS:
+                yield from flush()
+                held, size = [], 0
+    if held:
+        yield from flush()
+
+
+@lean
+def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, ref, pos of every occurrence after the earliest; rows come sorted by hash, other, doc and pos."""
+    for t, cut in whole_groups(batches, ["h", "other"]):
+        doc, pos = t.column("doc").to_numpy(), t.column("pos").to_numpy()
+        first = np.repeat(cut[:-1], np.diff(cut))
+        later = (doc != doc[first]) | (pos != pos[first])
+        yield from _table(doc=doc[later], ref=t.column("ref").to_numpy()[later], pos=pos[later])
 
 
 @lean
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def each(known: _Answered, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        own = _ids(ids)
+    for x in batches:
+        ids, texts = x.column("doc_id"), x.column("text")
         for w in words(texts):
-            marks = known.marks(w, own)
+            marks = _marks(w, x.column("at"))
             cover = np.r_[0, np.cumsum(marks)]
             at = np.arange(len(marks))
             # A window that begins in the text before cannot reach into this one: it lies within its own row.
@@ -295,30 +202,27 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "kept": pa.array(kept, pa.binary()).cast(pa.string()), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
             })
 
-    yield from _with_answers(batches, each)
-
 
 def remove_repeats(documents: DataFrame, scratch: Scratch, keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text, if asked for) and kept_sha256 of every row."""
-    spark = documents.sparkSession
-    docs_in = buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-    def routed(records: DataFrame, work) -> DataFrame:
-        sent = records.withColumn("is_answer", (F.col("kind") == 1).cast("int"))
-        return sent.repartition("bucket").sortWithinPartitions("bucket", "is_answer", "kind").mapInArrow(work, PACKED)
-
-    def joined(answers: DataFrame) -> DataFrame:
-        asked = answers.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "doc", "pos")
-        bucket = F.crc32(F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).cast("string")) % docs_in
-        own = texts.select(bucket.cast("int").alias("bucket"), F.lit(3).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("doc"), F.lit(None).cast("binary").alias("pos"))
-        return asked.unionByName(own).repartition("bucket").sortWithinPartitions("bucket", "kind")
-
-    anchors = scratch.table(routed(texts.mapInArrow(_anchor_records(buckets, docs_in), PACKED), _repeated_anchors(docs_in)), "anchors", rows=512)
-    found = joined(anchors).mapInArrow(_window_records(buckets, docs_in), PACKED)
-    repeats = scratch.table(routed(found, _later_windows(docs_in)), "repeats", rows=512)
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = own.select("doc_id", "text", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), F.xxhash64("doc_id", "text").alias("ref"))
+    per = F.array_sort(F.collect_set("pos")).alias("at")
+
+    anchors = scratch.table(texts.select("ref", "text").mapInArrow(_anchor_records, "h long, ref long, pos int, kind int"), "anchors")
+    dealt = anchors.where(F.col("kind") != ANSWER).repartition("h").sortWithinPartitions("h").mapInArrow(_repeated_anchors, "ref long, pos int")
+    marked = dealt.unionByName(anchors.where(F.col("kind") == ANSWER).select("ref", "pos")).groupBy("ref").agg(per)
+    marked = scratch.table(marked, "marked")
     scratch.drop("anchors")
-    out = joined(repeats).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    # Merge joins at every size: what is marked grows with the corpus, so it is never broadcast.
+    found = texts.select("ref", "doc", "text").join(marked.hint("merge"), "ref").mapInArrow(_window_records, "h long, other long, doc long, ref long, pos int, kind int")
+    found = scratch.table(found, "windows")
+    scratch.drop("marked")
+    dealt = found.where(F.col("kind") != ANSWER).repartition("h").sortWithinPartitions("h", "other", "doc", "pos").mapInArrow(_later_windows, "doc long, ref long, pos int")
+    repeats = dealt.unionByName(found.where(F.col("kind") == ANSWER).select("doc", "ref", "pos")).groupBy("doc", "ref").agg(per)
+    repeats = scratch.table(repeats, "repeats")
+    scratch.drop("windows")
+    out = texts.join(repeats.hint("merge"), ["doc", "ref"], "left").select("doc_id", "text", "at").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
     return out if keep_text else out.drop("kept")
 
 

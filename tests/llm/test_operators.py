@@ -9,11 +9,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from evisift.llm import decontamination, embedding_dedup, hilbert_sharding, ngram_join, pii, secret_scans, sentencepieces, substring_dedup, toxicity, url_filters
+from evisift.llm import decontamination, embedding_dedup, hilbert_sharding, ngram_join, pii, secret_scans, sentencepieces, substring_dedup, textwords, toxicity, url_filters
 from evisift.llm.components import components
 from evisift.llm.runtime import Scratch
 
@@ -294,6 +295,66 @@ def test_substring_dedup(spark, docs, odd, empty):
     assert substring_dedup.op8_substring_dedup(empty).count() == 0
 
 
+def thue_morse(n):
+    """A word of 2**n letters and its complement, which every polynomial modulo 2**64 confuses from n = 10 or so on."""
+    t = "a"
+    for _ in range(n):
+        t += t.translate(str.maketrans("ab", "ba"))
+    return t, t.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_differ_have_different_hashes():
+    a, b = thue_morse(11)
+    rng = random.Random(9)
+    texts = [a, b, a + "a", "x" * 64, "x" * 65, "x" * 64 + "y", "y" + "x" * 64, "ab", "ba", "é", *("".join(rng.choice("ab") for _ in range(12)) for _ in range(4000))]
+    (w,) = textwords.words(pa.array(texts), lanes=2)
+    assert len(w.hashes) == len(texts)
+    for own in (w.hashes, w.second):
+        assert len(set(own.tolist())) == len(set(texts))
+    assert not set(w.hashes.tolist()) & set(w.second.tolist())
+
+
+def test_substring_dedup_of_words_alike(spark):
+    a, b = thue_morse(10)
+    head = [f"h{k}" for k in range(19)]
+    rows = [(1, " ".join([*head, a])), (2, " ".join([*head, b])), (3, " ".join([*head, b, "more"]))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op8_substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_repeats(rows) and (got[2][1], got[3][1]) == (0, 20)
+
+
+def test_substring_dedup_without_ids_or_with_equal_ones(spark):
+    t = [f"k{k}" for k in range(30)]
+    rows = [(None, " ".join(t)), (None, " ".join(["x", *t])), (None, " ".join(f"u{k}" for k in range(40))), (7, " ".join(t)), (7, " ".join(f"v{k}" for k in range(40)))]
+    df = spark.createDataFrame([(d, x, x) for d, x in rows], "doc_id long, text string, kept string")
+    out = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substring_dedup.op8_substring_dedup(df).collect())
+    assert out == [(0, 30, 0), (0, 31, 30), (0, 40, 0), (7, 30, 30), (7, 40, 0)]
+
+
+def test_substring_records_do_not_grow_with_partitions(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    table, counts = Scratch.table, {}
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        counts[name] = counts.get(name, []) + [out.count()]
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    results = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append({tuple(r) for r in substring_dedup.op8_substring_dedup(docs.repartition(n)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    n_words = sum(r[1] for r in results[0])
+    # One row an anchor, and at most one more for each hash that a slice knows to repeat.
+    assert max(counts["anchors"]) <= 2 * n_words * 4 / 13 and max(counts["anchors"]) <= 1.5 * min(counts["anchors"])
+    assert max(counts["windows"]) <= 1.01 * min(counts["windows"]) and len(set(counts["repeats"])) == 1
+
+
 def test_cover_has_every_difference():
     assert {(a - b) % substring_dedup.PERIOD for a in substring_dedup.COVER for b in substring_dedup.COVER} == set(range(substring_dedup.PERIOD))
 
