@@ -96,6 +96,14 @@ class Scratch:
         files.delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def give_back() -> None:
     """Hands memory that this process has freed, but its allocators still hold, back to the system."""
     pa.default_memory_pool().release_unused()
