@@ -5,12 +5,15 @@ an entry holds from its day until the next entry's, and counts while its action
 host, each parent domain, and the host with each leading path segment; it is joined on the key with the intervals
 that hold at its fetch time.  The most specific active key decides, allow before block at equal length.
 
-The join is an equi-join on the key, so adaptive execution splits a host that holds a third of all captures, and a
-partial aggregation per capture follows; the list is never assumed small.
+What is judged is each distinct URL and time; every capture then takes its own verdict, so captures of one page at
+several times, or rows that share an id, are never mixed.  Both joins are equi-joins with a shuffle on both sides, so
+adaptive execution splits a host or a URL that holds a third of all captures; the list is never assumed small.  Keys
+longer than any of the list are not made: how many labels and segments it has at most is one row, worked out with the
+query.
 
 Cases: a null or malformed URL has no host and no match; entries with a null key, day or action are left out; of
-several entries of one key, kind and day the removal wins; repeated captures are rows of their own only if their ids
-differ; empty tables give no rows, an empty list no matches; very long URLs give one key per path segment.
+several entries of one key, kind and day the removal wins; repeated captures and repeated or null ids are rows each by
+itself; empty tables give no rows, an empty list no matches; very long URLs give as many keys as the list is deep.
 """
 
 from __future__ import annotations
@@ -33,26 +36,34 @@ def with_host(df: DataFrame, url: str = "url") -> DataFrame:
     return df.withColumn("host", F.nullif(F.coalesce(host, F.lit("")), F.lit(""))).withColumn("path", F.coalesce(path, F.lit("")))
 
 
-def keys() -> str:
-    """SQL for the keys of host and path."""
-    parents = "transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 1000000), '.'))"
-    steps = "filter(split(path, '/'), s -> s != '')"
-    paths = f"if(size({steps}) = 0, cast(array() as array<string>), transform(sequence(1, greatest(1, size({steps}))), i -> concat(host, '/', array_join(slice({steps}, 1, i), '/'))))"
+def keys(labels: str, segments: str) -> str:
+    """SQL for the keys of host and path of at most so many labels and path segments."""
+    most = lambda parts, n: f"least(size({parts}), {n})"
+    own, steps = "split(host, '[.]')", "filter(split(path, '/'), s -> s != '')"
+    parents = f"transform(sequence(1, greatest(1, {most(own, labels)})), i -> array_join(slice({own}, -i, i), '.'))"
+    paths = f"if({most(steps, segments)} = 0, cast(array() as array<string>), transform(sequence(1, greatest(1, {most(steps, segments)})), i -> concat(host, '/', array_join(slice({steps}, 1, i), '/'))))"
     return f"if(host is null, cast(array() as array<string>), array_distinct(concat({parents}, {paths})))"
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, page_id: str = "page_id", url: str = "url", fetched: str = "fetched") -> DataFrame:
     """page_id, host, fetched, n_block, n_allow, specificity (key length, null: no match), blocked of each capture."""
-    base = with_host(captures.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(fetched).alias("fetched")))
+    base = captures.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(fetched).alias("fetched"))
     listed = intervals(entries)
-    asked = base.select("page_id", "host", "fetched", F.explode(F.expr(keys())).alias("key"))
-    hit = asked.join(listed, "key").where("since <= fetched and (until is null or fetched < until)")
-    per = hit.groupBy("page_id").agg(
+    deepest = listed.agg(
+        F.coalesce(F.max(F.size(F.split(F.substring_index("key", "/", 1), "[.]"))), F.lit(0)).alias("labels"),
+        F.coalesce(F.max(F.size(F.split("key", "/")) - 1), F.lit(0)).alias("segments"),
+    )
+    judged = with_host(base.where("url is not null and fetched is not null").select("url", "fetched").distinct())
+    judged = judged.withColumn("labels", deepest.select("labels").scalar()).withColumn("segments", deepest.select("segments").scalar())
+    asked = judged.select("url", "fetched", F.explode(F.expr(keys("labels", "segments"))).alias("key"))
+    # Merge joins at every size: captures and list both grow.
+    hit = asked.join(listed.hint("merge"), "key").where("since <= fetched and (until is null or fetched < until)")
+    per = hit.groupBy("url", "fetched").agg(
         F.expr("count_if(kind = 'block')").alias("n_block"),
         F.expr("count_if(kind = 'allow')").alias("n_allow"),
         F.expr("max(length(key) * 2 + if(kind = 'allow', 1, 0))").alias("best"),
     )
-    out = base.select("page_id", "host", "fetched").join(per, "page_id", "left")
+    out = with_host(base).join(per.hint("merge"), ["url", "fetched"], "left")
     return out.select("page_id", "host", "fetched", F.expr("coalesce(n_block, 0L)").alias("n_block"), F.expr("coalesce(n_allow, 0L)").alias("n_allow"), F.expr("cast(floor(best / 2) as int)").alias("specificity"), F.expr("coalesce(best % 2 = 0, false)").alias("blocked"))
 
 
@@ -92,7 +103,7 @@ def _duck(x: str, salt: str, modulo: int) -> str:
 
 
 ORACLE_SQL = f"""
-WITH base AS (SELECT page_id, {_HOST} AS host, coalesce({_PATH}, '') AS path, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched FROM pages),
+WITH base AS (SELECT page_id, url, {_HOST} AS host, coalesce({_PATH}, '') AS path, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched FROM pages),
 parts AS (SELECT *, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda s: s <> '') AS steps FROM base),
 hosts AS (SELECT DISTINCT host, CASE WHEN len(steps) > 0 THEN host || '/' || steps[1] END AS spot FROM parts WHERE host IS NOT NULL),
 one AS (SELECT DISTINCT host FROM hosts),
@@ -104,8 +115,8 @@ entries AS (
   UNION ALL SELECT DISTINCT spot, 'allow', DATE '2024-01-01' + {_duck("spot", "d", 366)}, 'add' FROM hosts WHERE spot IS NOT NULL AND {_duck("spot", "a", 10)} = 0),
 one_a_day AS (SELECT key, kind, day, max(action) AS action FROM entries GROUP BY ALL),
 spans AS (SELECT *, lead(day) OVER (PARTITION BY key, kind ORDER BY day) AS until FROM one_a_day),
-asked AS (SELECT DISTINCT page_id, fetched, unnest(list_concat(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')), list_transform(range(1, len(steps) + 1), lambda i: host || '/' || array_to_string(steps[:i], '/')))) AS key FROM parts WHERE host IS NOT NULL),
-hit AS (SELECT page_id, count(*) FILTER (kind = 'block') AS n_block, count(*) FILTER (kind = 'allow') AS n_allow, max(length(key) * 2 + (kind = 'allow')::INTEGER) AS best
-  FROM asked JOIN spans USING (key) WHERE action = 'add' AND day <= fetched AND (until IS NULL OR fetched < until) GROUP BY page_id)
-SELECT page_id, host, fetched, coalesce(n_block, 0) AS n_block, coalesce(n_allow, 0) AS n_allow, CAST(best // 2 AS INTEGER) AS specificity, coalesce(best % 2 = 0, false) AS blocked
-FROM base LEFT JOIN hit USING (page_id)"""
+asked AS (SELECT DISTINCT url, fetched, unnest(list_concat(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')), list_transform(range(1, len(steps) + 1), lambda i: host || '/' || array_to_string(steps[:i], '/')))) AS key FROM parts WHERE host IS NOT NULL),
+hit AS (SELECT url, fetched, count(*) FILTER (kind = 'block') AS n_block, count(*) FILTER (kind = 'allow') AS n_allow, max(length(key) * 2 + (kind = 'allow')::INTEGER) AS best
+  FROM asked JOIN spans USING (key) WHERE action = 'add' AND day <= fetched AND (until IS NULL OR fetched < until) GROUP BY url, fetched)
+SELECT page_id, host, base.fetched AS fetched, coalesce(n_block, 0) AS n_block, coalesce(n_allow, 0) AS n_allow, CAST(best // 2 AS INTEGER) AS specificity, coalesce(best % 2 = 0, false) AS blocked
+FROM base LEFT JOIN hit USING (url, fetched)"""
