@@ -2,14 +2,16 @@
 
 Normalisation is done here, by the model's own specification: at each position the longest prefix that the compiled
 character map (a double-array trie) knows is replaced, other characters stand for themselves, spaces become the meta
-symbol, and for every byte of the normalised text the byte of the source it came from is recorded.  The ids are those
-of the sentencepiece library; each piece's bytes in the normalised text are then projected to a span of source bytes.
-A text whose pieces do not add up to its normalised text raises, so spans are never guessed.
+symbol, and for every byte of the normalised text the byte of the source it came from is recorded.  The normalised text
+is then segmented by the sentencepiece library under the same model with a normaliser that changes nothing, so ids come
+from the text normalised here, and each piece's bytes are projected to a span of source bytes.  Tests hold the ids
+against the library's own encoding of the raw text.
 
 The model is read once on the driver and its bytes travel with the tasks.  Texts are encoded whole, in slices of rows.
 
 Cases: null text is empty; an empty text has no ids; repeated rows give equal results; an empty table gives no rows;
-very long texts are one encode call each; added columns replace columns of the same name.
+very long texts are one encode call each; added columns replace columns of the same name; if the library's pieces ever
+failed to spell the normalised text, that text's spans would be null, its ids as they are.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lean
+from .runtime import lean, unused
 
 META = "▁".encode()
+#: A second normaliser (field 3) overrides the first: no map, no dummy prefix, no blanks removed or escaped.
+UNCHANGED = bytes([0x1A, 8, 0x12, 0, 0x18, 0, 0x20, 0, 0x28, 0])
 
 
 class Spec(NamedTuple):
@@ -75,7 +79,8 @@ def char_map(blob: bytes) -> tuple[np.ndarray, bytes]:
 
 def read_spec(model: bytes) -> Spec:
     # Field 3 of a model is its normaliser: 2 the map, 3 dummy prefix, 4 extra spaces, 5 escaping.
-    found = dict(next((_fields(v) for k, v in _fields(model) if k == 3), ()))
+    # Of a field that comes again the later value holds.
+    found = dict(f for k, v in _fields(model) if k == 3 for f in _fields(v))
     trie, strings = char_map(found.get(2, b""))
     return Spec(trie, strings, bool(found.get(3, 1)), bool(found.get(4, 1)), bool(found.get(5, 1)))
 
@@ -145,36 +150,33 @@ def normalise(spec: Spec, text: bytes) -> tuple[bytes, np.ndarray]:
 
 
 class Encoder:
-    """A model's library processor with the normaliser above beside it."""
+    """A model's normaliser, done here, and its segmentation and decoding, which are the library's."""
 
     def __init__(self, model: bytes):
         self.spec, self.sp = read_spec(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.plain = sentencepiece.SentencePieceProcessor(model_proto=model + UNCHANGED)
         n = self.sp.get_piece_size()
         self.width = np.array([1 if self.sp.is_byte(i) else len(self.sp.id_to_piece(i).encode()) for i in range(n)], np.int64)
         self.unknown = self.sp.unk_id()
         self.names = [str(i) for i in range(n)]
 
-    def spans(self, text: bytes, ids: np.ndarray) -> np.ndarray:
-        """Begin and end byte in text of each id, one row each."""
-        normal, origin = normalise(self.spec, text)
-        width = self.width[ids] if len(ids) else np.zeros(0, np.int64)
-        lost = len(normal) - int(width.sum())
-        gaps = np.flatnonzero(ids == self.unknown) if len(ids) else np.zeros(0, np.int64)
-        if lost and len(gaps):  # a piece that the model lacks: found by what the pieces around it spell
-            at = 0
-            width = width.copy()
-            for k, i in enumerate(ids):
-                if i == self.unknown:
-                    after = next((j for j in ids[k + 1 :] if j != self.unknown), None)
-                    to = normal.index(self.sp.id_to_piece(int(after)).encode(), at + 1) if after is not None else len(normal)
-                    width[k] = to - at
-                at += int(width[k])
-            lost = len(normal) - int(width.sum())
-        if lost:
-            raise ValueError(f"pieces spell {len(normal) - lost} bytes of a normalised text of {len(normal)}")
-        cut = np.r_[0, np.cumsum(width)]
+    def encode(self, texts: list[bytes]) -> tuple[list[tuple[bytes, np.ndarray]], list[list[int]]]:
+        """Normalised bytes and their origins, and the ids, of each text."""
+        normal = [normalise(self.spec, t) for t in texts]
+        return normal, self.plain.encode([t for t, _ in normal], num_threads=1)
+
+    def spans(self, normal: bytes, origin: np.ndarray, ids: np.ndarray) -> np.ndarray | None:
+        """Begin and end byte in the source of each id, one row each."""
+        cut = np.r_[0, np.cumsum(self.width[ids])] if len(ids) else np.zeros(1, np.int64)
+        if cut[-1] != len(normal) or (ids == self.unknown).any():
+            return self._looked_up(normal, origin, ids)
         return np.stack([origin[cut[:-1]], origin[cut[1:]]], 1)
 
+    def _looked_up(self, normal: bytes, origin: np.ndarray, ids: np.ndarray) -> np.ndarray | None:
+        """Spans where a piece does not spell what it stands for (unknown ones): by the places the library gives."""
+        found = self.plain.encode(normal, return_type="offset_mapping", return_bytes=True)
+        return origin[np.array(found["offsets"], np.int64).reshape(-1, 2)] if found["ids"] == ids.tolist() else None
+
 
 @lru_cache(2)
 def encoder(model: bytes) -> Encoder:
@@ -186,15 +188,17 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def _encoded(texts: list[str | None], e: Encoder, limit: int = 1 << 19) -> Iterator[tuple[int, list[bytes], list[list[int]]]]:
+def _encoded(texts: list[str | None], e: Encoder, limit: int = 1 << 19) -> Iterator[tuple[int, list[list[int]], list[np.ndarray | None]]]:
+    """First row, ids and spans of runs of rows."""
     lo = 0
     while lo < len(texts):
         hi, n, part = lo, 0, []
         while hi < len(texts) and (hi == lo or n < limit):
-            part.append(texts[hi] or "")
+            part.append((texts[hi] or "").encode("utf-8", "replace"))
             n += len(part[-1])
             hi += 1
-        yield lo, [t.encode("utf-8", "replace") for t in part], e.sp.encode(part, num_threads=1)
+        normal, ids = e.encode(part)
+        yield lo, ids, [e.spans(t, origin, np.array(i, np.int64)) for (t, origin), i in zip(normal, ids, strict=True)]
         lo = hi
 
 
@@ -205,11 +209,10 @@ def _digests(model: bytes):
         hexed = lambda b: hashlib.sha256(b).hexdigest()
         for x in batches:
             rows = []
-            for _, texts, ids in _encoded(x.column("text").to_pylist(), e):
+            for _, ids, spans in _encoded(x.column("text").to_pylist(), e):
                 back = e.sp.decode(ids, num_threads=1)
-                for t, i, d in zip(texts, ids, back, strict=True):
-                    spans = e.spans(t, np.array(i, np.int64))
-                    rows.append((len(i), hexed(",".join([e.names[k] for k in i]).encode()), hexed(d.encode()), hexed(spans.astype("<i4").tobytes())))
+                for i, d, s in zip(ids, back, spans, strict=True):
+                    rows.append((len(i), hexed(",".join([e.names[k] for k in i]).encode()), hexed(d.encode()), None if s is None else hexed(s.astype("<i4").tobytes())))
             n, a, b, c = zip(*rows, strict=True) if rows else ([],) * 4
             yield pa.RecordBatch.from_arrays([x.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(v, pa.string()) for v in (a, b, c))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
@@ -221,14 +224,12 @@ def _full(model: bytes, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for x in batches:
-            for lo, texts, ids in _encoded(x.column(0).to_pylist(), e):
+            for lo, ids, spans in _encoded(x.column(0).to_pylist(), e):
                 back = e.sp.decode(ids, num_threads=1)
-                spans = [e.spans(t, np.array(i, np.int64)) for t, i in zip(texts, ids, strict=True)]
                 cut = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)
-                flat = np.concatenate(spans) if spans else np.zeros((0, 2), np.int64)
-                many = lambda v: pa.ListArray.from_arrays(pa.array(cut), pa.array(v.astype(np.int32)))  # noqa: B023, E731
-                old = [c.slice(lo, len(ids)) for c in x.columns[1:]]
-                yield pa.RecordBatch.from_arrays([*old, many(np.array([k for i in ids for k in i], np.int32)), many(flat[:, 0]), many(flat[:, 1]), pa.array(back, pa.string())], names)
+                lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([np.array(i, np.int32) for i in ids])))
+                ends = [pa.array([None if s is None else s[:, k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, len(ids)) for c in x.columns[1:]), lists, *ends, pa.array(back, pa.string())], names)
 
     return run
 
@@ -236,7 +237,7 @@ def _full(model: bytes, names: list[str]):
 def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """df with ids, begins, ends (byte spans in the UTF-8 text) and decoded."""
     added = ["ids", "begins", "ends", "decoded"]
-    source = df.select(F.col(text).cast("string").alias("__text"), *[F.col(f"`{c}`") for c in df.columns if c not in added])
+    source = df.select(F.col(text).cast("string").alias(unused(df, "__text")), *[F.col(f"`{c}`") for c in df.columns if c not in added])
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:]]
     schema = ", ".join([*kinds, "ids array<int>", "begins array<int>", "ends array<int>", "decoded string"])
     return source.mapInArrow(_full(read_model(model_path), [*source.columns[1:], *added]), schema)
