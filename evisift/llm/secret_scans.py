@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import unused
 from .sqltext import SPANS, let, lit, spans
 
 # The patterns of the three kinds and the least length of a hit.
@@ -88,14 +89,14 @@ def _kind(array: str, no: int) -> str:
 def find_secrets(df: DataFrame, text: str = "text", allow: list[str] | None = None, window: int = WINDOW) -> DataFrame:
     """df with ``secrets``: every span as struct a, k, b (start, number of kind, end), sorted by start, then kind."""
     allow = ALLOW if allow is None else allow
-    t = "__text"
+    t, base = unused(df, "__text"), unused(df, "__base")
     df = df.withColumn(t, F.coalesce(F.col(text).cast("string"), F.lit("")))
     assign = f"filter({spans(t, ASSIGN)}, s -> length(regexp_extract(s.m, {lit('^' + ASSIGN)}, 2)) >= {ASSIGN_LEAST})"
-    base = [_kind(assign, 0), _kind(spans(t, ACCESS), 1), _kind(spans(t, HEX), 2)]
-    df = df.withColumn("__base", F.expr(f"concat({', '.join(base)})"))
+    own = [_kind(assign, 0), _kind(spans(t, ACCESS), 1), _kind(spans(t, HEX), 2)]
+    df = df.withColumn(base, F.expr(f"concat({', '.join(own)})"))
     more = f"concat({_kind(_entropy_spans(t, 'hexent', allow, window), 3)}, {_kind(_entropy_spans(t, 'b64ent', allow, window), 4)})"
-    added = f"if({t} rlike {lit(r'[0-9A-Za-z+/=_-]{%d}' % window)} and {t} rlike '[0-9]|[a-z][A-Z]', filter({more}, e -> not exists(__base, s -> s.a <= e.a and e.b <= s.b)), cast(array() as array<struct<a:int,k:int,b:int>>))"
-    return df.withColumn("secrets", F.expr(f"array_sort(concat(__base, {added}))")).drop("__base", t)
+    added = f"if({t} rlike {lit(r'[0-9A-Za-z+/=_-]{%d}' % window)} and {t} rlike '[0-9]|[a-z][A-Z]', filter({more}, e -> not exists({base}, s -> s.a <= e.a and e.b <= s.b)), cast(array() as array<struct<a:int,k:int,b:int>>))"
+    return df.withColumn("secrets", F.expr(f"array_sort(concat({base}, {added}))")).drop(base, t)
 
 
 def listed(array: str = "secrets", kinds: int = len(KINDS)) -> Column:
@@ -108,9 +109,10 @@ def redact_secrets(df: DataFrame, text: str = "text", mask: str = "[SECRET]") ->
     """df with every span of its text replaced by mask, spans that overlap by one mask; null stays null."""
     step = "if(size(z) > 0 and element_at(z, -1).b > s.a, concat(slice(z, 1, size(z) - 1), array(named_struct('a', element_at(z, -1).a, 'b', greatest(element_at(z, -1).b, s.b)))), concat(z, array(named_struct('a', s.a, 'b', s.b))))"
     merged = f"aggregate(secrets, cast(array() as array<struct<a:int,b:int>>), (z, s) -> {step})"
-    cut = f"concat(array_join(transform(m, (s, i) -> concat(substring(__was, if(i = 0, 0, get(m, i - 1).b) + 1, s.a - if(i = 0, 0, get(m, i - 1).b)), {lit(mask)})), ''), substring(__was, element_at(m, -1).b + 1))"
-    out = find_secrets(df, text).withColumn("__was", F.col(text))
-    return out.withColumn(text, F.expr(f"if(size(secrets) = 0, __was, {let(merged, 'm', cut)})")).drop("__was", "secrets")
+    was = unused(df, "__was")
+    cut = f"concat(array_join(transform(m, (s, i) -> concat(substring({was}, if(i = 0, 0, get(m, i - 1).b) + 1, s.a - if(i = 0, 0, get(m, i - 1).b)), {lit(mask)})), ''), substring({was}, element_at(m, -1).b + 1))"
+    out = find_secrets(df, text).withColumn(was, F.col(text))
+    return out.withColumn(text, F.expr(f"if(size(secrets) = 0, {was}, {let(merged, 'm', cut)})")).drop(was, "secrets")
 
 
 def op1_secret_scans(documents: DataFrame) -> DataFrame:
