@@ -5,10 +5,10 @@
 * Counts: every labelled training row counts.  Each task sums its rows' buckets into dense arrays, cut into ranges,
   so what is shuffled per task has a fixed size; ranges are then added up.  From them come the log-count ratios
   r = log((pos + 1) / (n_pos + 2)) - log((neg + 1) / (n_neg + 2)) and, for choosing buckets, r over its standard error.
-* The ``max_features`` most significant buckets of at least ``LEAST_RATIO`` are kept; x = r for a bucket that a text
-  has, else 0.
+* All buckets of at least ``LEAST_RATIO`` that are significant among 2**BITS of them (``LEAST_Z``) are kept, however many
+  there are; x = r for a bucket that a text has, else 0.
 * Fit: L2-regularised logistic regression on the driver, over a sample of at most about ``max_fit_rows`` training rows,
-  chosen by a hash of doc_id.  Both bounds are parameters and the only sampling there is.
+  chosen by a hash of doc_id.  That bound is a parameter and the only sampling there is.
 
 Cases: null text is empty; an empty text scores the intercept; repeated doc_ids are scored row by row, and of several
 labels of one doc_id the largest counts; null labels are left out; very long texts are scored whole, in slices; with
@@ -23,15 +23,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch, lean
+from .runtime import Scratch, lean, unused
 from .textwords import _powers
 
 ORDERS, BITS, RANGES = (3, 4, 5, 6), 20, 1024
 #: Buckets whose log-count ratio is nearer to 0 tell nothing.
 LEAST_RATIO = 0.7
+#: Standard errors from 0 that one in 2,000 of the buckets that tell nothing reaches by chance.
+LEAST_Z = 3.5
 FOLDS = 5
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = re.compile(r"\s+")
@@ -131,8 +134,8 @@ def _significant(n: tuple[int, int]):
                     neg, pos = np.frombuffer(c, np.int64).reshape(2, width).astype(float)
                     ratio = np.log((pos + 1) / (n[1] + 2)) - np.log((neg + 1) / (n[0] + 2))
                     z = np.abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1))
-                    best = np.flatnonzero((z > 2) & (np.abs(ratio) >= LEAST_RATIO))
-                    yield pa.record_batch({"bucket": pa.array(r * width + best, pa.int64()), "ratio": ratio[best], "z": z[best]})
+                    best = np.flatnonzero((z >= LEAST_Z) & (np.abs(ratio) >= LEAST_RATIO))
+                    yield pa.record_batch({"bucket": pa.array(r * width + best, pa.int64()), "ratio": ratio[best]})
 
     return run
 
@@ -169,19 +172,36 @@ def _features(chosen: np.ndarray):
     return run
 
 
-def logistic(row: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, width: int, l2: float = 1.0, rounds: int = 250) -> tuple[np.ndarray, float]:
-    """Weights and intercept of L2-regularised logistic regression on sparse rows, by Adam on the full gradient."""
+def logistic(feature: np.ndarray, cut: np.ndarray, ratio: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 250, chunk: int = 1 << 20) -> tuple[np.ndarray, float]:
+    """Weights and intercept of L2-regularised logistic regression by Adam on the full gradient.
+
+    Row k has the features cut[k]:cut[k + 1], each worth its ratio; rows are passed over in chunks, so that little more
+    than the features themselves is held.
+    """
+    width = len(ratio)
     w, m, v, rate = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1), 0.05
     w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    parts, lo = [], 0
+    while lo < len(y):
+        hi = max(lo + 1, int(np.searchsorted(cut, cut[lo] + chunk, "right")) - 1)
+        parts.append((lo, hi))
+        lo = hi
     for k in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col] * val, len(y)) + w[-1], -40, 40)))
-        g = np.r_[np.bincount(col, (p - y)[row] * val, width) + l2 * w[:-1], (p - y).sum()] / len(y)
+        worth, g = w[:-1] * ratio, np.zeros(width + 1)
+        for lo, hi in parts:
+            own, size = feature[cut[lo] : cut[hi]], np.diff(cut[lo : hi + 1])
+            total = np.diff(np.r_[0.0, np.cumsum(worth[own])][cut[lo : hi + 1] - cut[lo]])
+            off = 1 / (1 + np.exp(-np.clip(total + w[-1], -40, 40))) - y[lo:hi]
+            g[:-1] += np.bincount(own, np.repeat(off, size), width) * ratio
+            g[-1] += off.sum()
+        g[:-1] += l2 * w[:-1]
+        g /= len(y)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * min(1, 2 * (rounds - k) / rounds) * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-9)
     return w[:-1], float(w[-1])
 
 
-def fit(training: DataFrame, scratch: Scratch, max_features: int = 8192, max_fit_rows: int = 16_000) -> ToxicityModel:
+def fit(training: DataFrame, scratch: Scratch, max_fit_rows: int = 16_000) -> ToxicityModel:
     """The model of training rows doc_id, text, toxic (0 or 1)."""
     training = training.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     parts = training.select("text", "toxic").mapInArrow(_count, "range int, counts binary")
@@ -190,19 +210,18 @@ def fit(training: DataFrame, scratch: Scratch, max_features: int = 8192, max_fit
     if head is None:
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), float(np.log(0.25 / 0.75)))
     n = tuple(int(k) for k in np.frombuffer(head.counts, np.int64))
-    best = sums.mapInArrow(_significant(n), "bucket long, ratio double, z double").orderBy(F.desc("z"), "bucket").limit(max_features).collect()
-    chosen, ratios = np.array([r.bucket for r in best], np.int64), np.array([r.ratio for r in best])
+    best = sums.mapInArrow(_significant(n), "bucket long, ratio double").toArrow().sort_by("bucket")  # 2**BITS rows at most
+    chosen, ratios = best.column("bucket").to_numpy(), best.column("ratio").to_numpy()
     share = min(1.0, max_fit_rows / max(1, sum(n)))
     sample = training.where(F.expr(f"pmod(xxhash64(doc_id), 1048576) < {int(share * 1048576)}"))
-    rows = sample.mapInArrow(_features(chosen), "toxic int, features binary").collect()
-    feats = [np.frombuffer(r.features, np.int32) for r in rows]
-    y = np.array([r.toxic for r in rows], float)
-    if not len(y):
+    rows = sample.mapInArrow(_features(chosen), "toxic int, features binary").toArrow()
+    if not rows.num_rows:
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), float(np.log(0.25 / 0.75)))
-    col = np.concatenate(feats).astype(np.int64)
-    row = np.repeat(np.arange(len(y)), [len(f) for f in feats])
-    order = np.lexsort((col, row))
-    weights, intercept = logistic(row[order], col[order], ratios[col[order]], y, len(chosen))
+    y = rows.column("toxic").to_numpy().astype(float)
+    feature = np.concatenate([np.frombuffer(f.as_py(), np.int32) for f in rows.column("features")])
+    cut = np.r_[0, np.cumsum(pc.binary_length(rows.column("features")).to_numpy() // 4, dtype=np.int64)]
+    del rows
+    weights, intercept = logistic(feature, cut, ratios, y)
     return ToxicityModel(chosen, ratios, weights, intercept)
 
 
@@ -225,7 +244,7 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """df with toxicity_score; a column of that name is replaced."""
     df = df.drop("toxicity_score")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.select(F.col(text).cast("string").alias("__text"), *[F.col(f"`{c}`") for c in df.columns]).mapInArrow(_scorer(model, df.columns), f"{kind}, toxicity_score double")
+    return df.select(F.col(text).cast("string").alias(unused(df, "__text")), *[F.col(f"`{c}`") for c in df.columns]).mapInArrow(_scorer(model, df.columns), f"{kind}, toxicity_score double")
 
 
 def held_out(doc_id: str = "doc_id"):
