@@ -3,8 +3,8 @@
 1. Statistics: document frequencies of all documents' words, hashed into ``2**BITS`` buckets; each task sums dense
    arrays, so what is shuffled per task has a fixed size.  Weight of a word: sqrt(tf) * log((N + 1) / (df + 0.5)).
 2. Latent space: benchmark items, cut into passages, are dealt into blocks of at most ``BLOCK`` passages.  A block's
-   TF-IDF matrix A gets a randomised SVD: subspace iteration Z <- orth(A'(A Z)) from a random start, the products
-   summed over partitions, then a small eigenproblem; as many dimensions are kept as hold ``ENERGY`` of the variance.
+   TF-IDF matrix A gets a randomised SVD, block by block in tasks of their own: subspace iteration Z <- orth(A'(A Z))
+   from a random start, then a small eigenproblem; as many dimensions are kept as hold ``ENERGY`` of the variance.
 3. Search: every document is cut into overlapping windows of two widths.  Projection and comparison are one product,
    words by passages, of which short runs of words are summed once and windows put together from runs; cosines of at
    least ``CANDIDATE`` give candidates.
@@ -26,6 +26,7 @@ or table of documents gives clean or no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,7 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch, lean
+from .arrowstream import whole_groups
+from .runtime import Scratch, lean, unused
 from .textwords import Words, words
 
 BITS, RANGES = 18, 512
@@ -166,58 +168,59 @@ def _rows(parts: list[bytes], idf: np.ndarray, terms: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def _product(idf: np.ndarray, terms: np.ndarray, z: np.ndarray, gram: bool):
-    """A task's share of A'(A Z), or of (A Z)'(A Z)."""
-
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((z.shape[1] if gram else len(terms), z.shape[1]), np.float32)
-        for x in batches:
-            parts = x.column("words").to_pylist()
-            for s in range(0, len(parts), 256):
-                a = _rows(parts[s : s + 256], idf, terms)
-                y = a @ z
-                total += y.T @ y if gram else a.T @ y
-        yield pa.record_batch({"m": pa.array([total.tobytes()], pa.binary())})
-
-    return run
-
-
-def randomised_svd(passages: DataFrame, n: int, idf: np.ndarray, terms: np.ndarray, seed: int = 11) -> np.ndarray:
-    """terms x dimensions: right singular vectors of the passages' TF-IDF matrix that hold ENERGY of it."""
-
-    def summed(z: np.ndarray, gram: bool) -> np.ndarray:
-        rows = passages.select("words").mapInArrow(_product(idf, terms, z.astype(np.float32), gram), "m binary").collect()
-        return sum(np.frombuffer(r.m, np.float32).reshape(-1, z.shape[1]).astype(float) for r in rows)
-
-    z = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(terms), min(n, BLOCK, len(terms)))))[0]
+def randomised_svd(a: np.ndarray, seed: int = 11) -> np.ndarray:
+    """terms x dimensions: right singular vectors of a (passages x terms) that hold ENERGY of it."""
+    a = a.astype(float)
+    z = np.linalg.qr(np.random.default_rng(seed).normal(size=(a.shape[1], min(a.shape))))[0]
     for _ in range(ROUNDS):
-        z = np.linalg.qr(summed(z, False))[0]
-    value, vector = np.linalg.eigh(summed(z, True))
+        z = np.linalg.qr(a.T @ (a @ z))[0]
+    y = a @ z
+    value, vector = np.linalg.eigh(y.T @ y)
     order = np.argsort(value)[::-1]
     value = np.maximum(value[order], 0)
     rank = int(np.searchsorted(np.cumsum(value), ENERGY * value.sum())) + 1
     return (z @ vector[:, order[:rank]]).astype(np.float32)
 
 
-def build(items: DataFrame, idf: np.ndarray, scratch: Scratch) -> Iterator[Block]:
-    """The latent spaces of a benchmark, block by block."""
+def _spaces(idf: np.ndarray):
+    """block, size and the pickled latent space of each block of passages, which come sorted by block."""
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, cut in whole_groups(batches, ["block"]):
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                part = t.slice(lo, hi - lo)
+                whole, parts = dict(zip(part.column("item_id").to_pylist(), part.column("item").to_pylist(), strict=True)), part.column("words").to_pylist()
+                ids = sorted(whole)
+                index = {i: j for j, i in enumerate(ids)}
+                terms = np.unique(_bucket(np.concatenate([np.frombuffer(w, np.uint64) for w in parts])))
+                a = _rows(parts, idf, terms)
+                basis = randomised_svd(a)
+                block = Block(terms, basis, a @ basis, np.array([index[i] for i in part.column("item_id").to_pylist()]), ids, [np.frombuffer(whole[i], np.uint64) for i in ids])
+                size = block.basis.nbytes + block.latent.nbytes + sum(h.nbytes for h in block.items)
+                yield pa.record_batch({"block": pa.array([t.column("block")[int(lo)].as_py()], pa.int32()), "size": pa.array([size], pa.int64()), "space": pa.array([pickle.dumps(tuple(block))], pa.binary())})
+
+    return run
+
+
+def build(items: DataFrame, idf: np.ndarray, scratch: Scratch) -> Iterator[list[Block]]:
+    """The latent spaces of a benchmark, all made in one job, in groups of at most RESIDENT_MB (or one block)."""
     cut = scratch.table(_passages(items), "passages")
     n = cut.count()
     blocks = max(1, -(-n // BLOCK))
-    dealt = cut.withColumn("block", F.expr(f"cast(pmod(xxhash64(item_id), {blocks}) as int)")) if blocks > 1 else cut.withColumn("block", F.lit(0))
-    for k in range(blocks):
-        own = dealt.where(F.col("block") == k).drop("block")
-        rows = own.collect()  # a block: about BLOCK passages
-        if not rows:
-            continue
-        terms = np.unique(_bucket(np.concatenate([np.frombuffer(r.words, np.uint64) for r in rows])))
-        basis = randomised_svd(own, len(rows), idf, terms)
-        a = _rows([r.words for r in rows], idf, terms)
-        ids = sorted({r.item_id for r in rows})
-        index = {i: j for j, i in enumerate(ids)}
-        whole = {index[r.item_id]: np.frombuffer(r.item, np.uint64) for r in rows}
-        yield Block(terms, basis, a @ basis, np.array([index[r.item_id] for r in rows]), ids, [whole[j] for j in range(len(ids))])
+    dealt = cut.withColumn("block", F.expr(f"cast(pmod(xxhash64(item_id), {blocks}) as int)")).repartition(F.col("block")).sortWithinPartitions("block", "item_id", "words")
+    spaces = scratch.table(dealt.mapInArrow(_spaces(idf), "block int, size long, space binary"), "spaces")
+    groups, size = [[]], 0
+    for r in spaces.select("block", "size").orderBy("block").collect():  # one row a block
+        if groups[-1] and size + r.size > RESIDENT_MB << 20:
+            groups.append([])
+            size = 0
+        groups[-1].append(r.block)
+        size += r.size
+    for group in groups:
+        if group:
+            rows = spaces.where(F.col("block").between(group[0], group[-1])).orderBy("block").collect()  # RESIDENT_MB at most
+            yield [Block(*pickle.loads(r.space)) for r in rows]
 
 
 def common_subsequence(masks: dict[int, int], n: int, text: list[int]) -> int:
@@ -376,7 +379,7 @@ def _judge(blocks: list[Block], idf: np.ndarray, names: list[str]):
             tables.append((number, np.r_[by_passage, np.zeros((1, by_passage.shape[1]))].astype(np.float32), *_cover(b, idf)))
         items = [[_Item(h) for h in b.items] for b in blocks]
         for x in batches:
-            for w in _words(x.column("__text")):
+            for w in _words(x.column(0)):
                 found = search(w, blocks, idf, tables, items)
                 hits = [sorted(found.get(k, {}).items()) for k in range(w.hi - w.lo)]
                 lists = pa.array([[i for i, _ in h] for h in hits], pa.list_(pa.int64()))
@@ -390,21 +393,13 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, scratch: Scratch) ->
     """documents with items (sorted ids of the items a text holds), and the best cosine and share of words in order."""
     base = documents.drop("items", "cosine", "share")
     idf = inverse_frequencies(documents, scratch)
-    groups, size = [[]], 0
-    for b in build(benchmark, idf, scratch):
-        own = b.basis.nbytes + b.latent.nbytes + sum(h.nbytes for h in b.items)
-        if groups[-1] and size + own > RESIDENT_MB << 20:
-            groups.append([])
-            size = 0
-        groups[-1].append(b)
-        size += own
     out = base
-    for k, group in enumerate(groups):
+    for k, group in enumerate([*build(benchmark, idf, scratch)] or [[]]):
         kept = ["items", "cosine", "share"] if k else []
         named = [c if c not in kept else f"__{c}" for c in out.columns]
         source = out.toDF(*named)
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-        source = source.select(F.col("text").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in named])
+        source = source.select(F.col("text").cast("string").alias(unused(source, "__text")), *[F.col(f"`{c}`") for c in named])
         out = source.mapInArrow(_judge(group, idf, named), f"{kinds}, items array<bigint>, cosine double, share double")
         if k:
             out = out.withColumn("items", F.array_sort(F.array_union("items", "__items"))).withColumn("cosine", F.greatest("cosine", "__cosine")).withColumn("share", F.greatest("share", "__share")).drop("__items", "__cosine", "__share")
