@@ -1,5 +1,6 @@
 """Edge cases and brute-force versions of the training-data operators, on small fixtures."""
 
+import datetime
 import hashlib
 import itertools
 import random
@@ -118,6 +119,111 @@ def luhn(s):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
 
 
+def plain_feistel(left, right, left_radix, right_radix, key, tweak):
+    number = lambda i, half: int(hashlib.sha256(f"{key}|{tweak}|{i}|{half}".encode()).hexdigest()[:15], 16)
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            left = (left + number(i, right) % left_radix) % left_radix
+        else:
+            right = (right + number(i, left) % right_radix) % right_radix
+    return left, right
+
+
+def plain_string(t, base, key, tweak):
+    """Digits or small letters permuted among strings of the same length."""
+    zero, n, half = ("0" if base == 10 else "a"), len(t), len(t) // 2
+    if not n:
+        return ""
+    number = lambda x: sum((ord(c) - ord(zero)) * base ** (len(x) - 1 - k) for k, c in enumerate(x))
+    text = lambda v, k: "".join(chr(ord(zero) + v // base ** (k - 1 - j) % base) for j in range(k))
+    a, b = plain_feistel(number(t[:half]), number(t[half:]), base**half, base ** (n - half), key, f"{tweak}{n}")
+    return text(a, half) + text(b, n - half)
+
+
+def plain_blocks(t, base, key):
+    return "".join(plain_string(t[k : k + pii.BLOCK], base, key, "email") for k in range(0, len(t), pii.BLOCK))
+
+
+def refill(shape, kind, filled):
+    rest = iter(filled)
+    return "".join((next(rest).upper() if c.isupper() else next(rest)) if re.match(kind, c) else c for c in shape)
+
+
+def plain_value(m, key):
+    """Kind and pseudonym of a match, or an empty kind and the match."""
+    digits = "".join(c for c in m if c in "0123456789")
+    is_a = lambda k: re.fullmatch(pii.PATTERNS[k], m, re.A)
+    if is_a("email"):
+        local, rest = m.split("@", 1)
+        out = refill(local, "[0-9]", plain_blocks("".join(c for c in local if c.isdigit()), 10, key))
+        return "email", refill(out, "[A-Za-z]", plain_blocks("".join(c for c in local if c.isalpha()).lower(), 26, key)) + "@" + rest
+    for shape, form in (("[0-9]{4}-[0-9]{2}-[0-9]{2}", "%Y-%m-%d"), ("[0-9]{2}[.][0-9]{2}[.][0-9]{4}", "%d.%m.%Y"), ("[0-9]{2}/[0-9]{2}/[0-9]{4}", "%m/%d/%Y")):
+        if re.fullmatch(shape, m):
+            try:
+                day = (datetime.datetime.strptime(m, form).date() - datetime.date(1900, 1, 1)).days
+            except ValueError:
+                return "", m
+            if not 0 <= day < pii.DAY_RADIX**2:
+                return "", m
+            a, b = plain_feistel(day // pii.DAY_RADIX, day % pii.DAY_RADIX, pii.DAY_RADIX, pii.DAY_RADIX, key, "date")
+            return "date", (datetime.date(1900, 1, 1) + datetime.timedelta(a * pii.DAY_RADIX + b)).strftime(form)
+    if is_a("ipv4") and all(int(x) < 256 for x in m.split(".")):
+        v = int.from_bytes(bytes(map(int, m.split("."))), "big")
+        a, b = plain_feistel(v >> 16, v & 65535, 65536, 65536, key, "ipv4")
+        return "ipv4", ".".join(map(str, (a << 16 | b).to_bytes(4, "big")))
+    if is_a("ssn") and not re.match("000|666|9", m) and m[4:6] != "00" and m[7:] != "0000":
+        areas = [k for k in range(1, 900) if k != 666]
+        a, b = plain_feistel(areas.index(int(m[:3])) * 99 + int(m[4:6]) - 1, int(m[7:]) - 1, 898 * 99, 9999, key, "ssn")
+        return "ssn", f"{areas[a // 99]:03d}-{a % 99 + 1:02d}-{b + 1:04d}"
+    if is_a("phone") and 10 <= len(digits) <= 15:
+        n = 1 if digits[0] in pii.COUNTRY[0] else 2 if digits[:2] in pii.COUNTRY[1] else 3
+        return "phone", refill(m, "[0-9]", digits[:n] + plain_string(digits[n:], 10, key, "phone"))
+    if is_a("card") and luhn(digits):
+        own = plain_string(digits[:-1], 10, key, "card")
+        return "card", refill(m, "[0-9]", own + next(c for c in "0123456789" if luhn(own + c)))
+    return "", m
+
+
+def plain_pseudonyms(text, key):
+    out = []
+
+    def put(m):
+        kind, new = plain_value(m[0], key)
+        out.extend([f"{kind}:{new}"] if kind else [])
+        return new
+
+    return re.sub("|".join(pii.PATTERNS.values()), put, text, flags=re.A), out
+
+
+def test_pii_equals_a_plain_version(spark, odd):
+    rng = random.Random(12)
+    made = ["Jo.Smith99@x.example.com, jo.smith99@x.example.com", "+1 555 123 4567 or +15551234567, +49 30 1234567 89, +358 40 123 4567", "078-05-1120 665-01-0001 667-99-9999 899-99-9999 900-11-2222", "a" * 64 + "@b.de " + "a" * 65 + "@b.de", "1900-01-01 2099-08-05 2099-08-06 31.11.2020"]
+    made += [f"{rng.choice('+1 +44 +358'.split())} {rng.randrange(200, 999)} {rng.randrange(200, 999)} {rng.randrange(2000, 9999)} {rng.randrange(1, 900):03d}-{rng.randrange(100):02d}-{rng.randrange(10000):04d} {'.'.join(str(rng.randrange(280)) for _ in range(4))}" for _ in range(60)]
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(spark.createDataFrame([(10_000 + k, t) for k, t in enumerate(made)], "doc_id long, text string"))
+    rows = pii.op3_pii_feistel(df.withColumnRenamed("doc_id", "n").withColumn("doc_id", F.concat_ws("\x02", F.col("n").cast("string"), F.coalesce("text", F.lit("\x03")))), "some key").collect()
+    assert len(rows) == 1000 + 11 + len(made)
+    seen = Counter()
+    for r in rows:
+        old = r.doc_id.split("\x02")[-1]
+        new, found = plain_pseudonyms("" if old == "\x03" else old, "some key")
+        assert (r.text or "", r.pseudonyms) == (new, found)
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(f.startswith(k + ":") for f in found) for k in pii.KINDS]
+        seen.update(f.split(":")[0] for f in found)
+    assert set(seen) == set(pii.KINDS)
+
+
+def test_pii_links_and_formats(spark):
+    texts = ["+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "Jo.Smith@x.com", "jo.smith@x.com"]
+    got = [r.pii[0].pseudonym for r in pii.pseudonymise(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    digits = [re.sub("[^0-9]", "", g) for g in got[:3]]
+    assert digits[0] == digits[1] == digits[2] != "15551234567" and digits[0][0] == "1"
+    assert got[3] != got[4] and got[3].lower() == got[4] and [c.isupper() for c in got[3]] == [c.isupper() for c in texts[3]]
+    ssn = spark.range(898 * 99).selectExpr("id div 99 as a", "id % 99 + 1 as g").selectExpr("concat_ws('-', lpad(cast(a + if(a >= 665, 2, 1) as string), 3, '0'), lpad(cast(g as string), 2, '0'), '0001') as text")
+    out = pii.pseudonymise(ssn, "k").cache()
+    assert out.distinct().count() == 898 * 99 and out.where("text rlike '^(000|666|9)|-00-|0000$' or size(pii) != 1").count() == 0
+    out.unpersist()
+
+
 def test_pii_keeps_formats_and_links(spark, odd, empty):
     text = "Jo.Smith99@x.example.com 4111 1111 1111 1111 4111111111111112 2020-02-29 31.12.1999 02/30/2000 192.168.0.1 300.1.1.1 +1 (017) 555-7713 123-45-6789"
     df = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, None, "c"), (4, "", "d")], "doc_id long, text string, pii string")
@@ -131,7 +237,27 @@ def test_pii_keeps_formats_and_links(spark, odd, empty):
     assert all(int(x) < 256 for x in kinds["ipv4"].split(".")) and kinds["email"].endswith("@x.example.com")
     assert "4111111111111112" in out[1].text and "02/30/2000" in out[1].text and "300.1.1.1" in out[1].text
     assert pii.pseudonymise(df, "other").first().text != out[1].text
-    assert pii.op3_pii_feistel(odd).count() == 11 and pii.op3_pii_feistel(empty).count() == 0
+    assert pii.op3_pii_feistel(odd, "k").count() == 11 and pii.op3_pii_feistel(empty, "k").count() == 0
+
+
+def test_texts_that_recursion_would_not_survive(spark):
+    """Long runs within one match: the patterns hold no repeated group that the regex engine recurses into."""
+    n = 200_000
+    texts = ["x@" + "a." * n + "com", "a" * n + "@" + "b" * n, "1" * n, "1-" * n, "+1" * n, "4 " * n, "1." * n, "a b " * n, "token=" * n, "AKIA" * n, "secret" + " " * n + "=x", "aB3=" * n, "sample_" * n]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert pii.op3_pii_feistel(df, "k").count() == len(texts)
+    assert pii.op3_pii_feistel(df, "k").where("length(text) > 0").count() == len(texts)
+    got = secret_scans.op1_secret_scans(df.where("doc_id not in (11, 12)")).collect()
+    assert len(got) == len(texts) - 2 and all(len(r.spans) >= 0 for r in got)
+    for p in [*pii.PATTERNS.values(), secret_scans.ASSIGN, secret_scans.ACCESS, secret_scans.HEX, *(c[2] for c in secret_scans.CLASSES.values()), *secret_scans.ALLOW]:
+        assert not re.search(r"\)(?:[*+]|\{[0-9]+,\})", p), p
+
+
+def test_many_hits_in_one_text(spark):
+    text = " ".join(f"token=abcdef{k}" for k in range(20_000))
+    r = secret_scans.op1_secret_scans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    names = [f"assign:{a}:{b}" for a, _, b in base_spans(text)]
+    assert r.n_assign == 20_000 and r.base_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
 
 
 @pytest.mark.parametrize("left,right", [(1, 10), (10, 10), (7, 30)])
@@ -154,6 +280,9 @@ def test_toxicity_held_out(spark, docs, odd, empty):
     some = spark.createDataFrame([(1, 1, 0), (4, None, None), (4, 1, 1), (9, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.op4_toxicity(odd, some).where("score is not null and score between 0 and 1").count() == 11
     assert toxicity.op4_toxicity(empty, some).count() == 0
+    model = toxicity.fit(toxicity.training_rows(d, labels), Scratch(spark, "t"))
+    clash = toxicity.score(odd.withColumn("toxicity_score", F.lit("old")).withColumn("__text", F.lit("x")).withColumn("a b", F.lit(1)), model)
+    assert clash.columns == [*odd.columns, "__text", "a b", "toxicity_score"] and clash.where("toxicity_score between 0 and 1 and __text = 'x'").count() == 11
     assert {round(r.score, 6) for r in toxicity.op4_toxicity(odd, some.limit(0)).collect()} == {0.25}
 
 
@@ -173,6 +302,10 @@ def test_sentencepiece_equals_library(spark, docs, odd, empty):
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
     assert sentencepieces.op5_sentencepiece(empty).count() == 0
+    long = spark.createDataFrame([(1, "word " * 300_000), (2, "é" * 200_000), (3, " " * 50_000)], "doc_id long, text string")
+    for r in sentencepieces.op5_sentencepiece(long).join(long, "doc_id").collect():
+        ids = sp.encode(r.text)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest()) and r.spans_sha256
     clash = odd.withColumn("ids", F.lit("x")).where("doc_id = 8")
     r = sentencepieces.encode(clash, sentencepieces.default_model()).first()
     raw = r.text.encode()
@@ -180,6 +313,45 @@ def test_sentencepiece_equals_library(spark, docs, odd, empty):
     assert all(b == e for b, e in zip(r.begins[1:], r.ends, strict=False))
 
 
+def message(*fields):
+    """Fields of a protocol buffer message: number and text, number or True and False."""
+    out = b""
+    size = lambda n: (bytes([n]) if n < 128 else bytes([n & 127 | 128]) + size(n >> 7))
+    for k, v in fields:
+        out += size(k << 3) + size(int(v)) if isinstance(v, int) else size(k << 3 | 2) + size(len(v)) + v
+    return out
+
+
+def test_model_with_a_character_map(spark, docs):
+    """The given model under another normaliser: own normalisation gives the ids and spans that the library gives."""
+    rules = {"ﬁ".encode(): b"fi", "Ａ".encode(): b"A", b"\t": b" ", "ü".encode(): b"ue", b"ab": b"b", "①".encode(): b"1"}
+    for remove, dummy in itertools.product([0, 1], repeat=2):
+        normaliser = message((1, b"own"), (2, build_map(rules)), (3, dummy), (4, remove), (5, 1))
+        model = sentencepieces.read_model(sentencepieces.default_model()) + message((3, normaliser))
+        theirs, own = sentencepiece.SentencePieceProcessor(model_proto=model), sentencepieces.Encoder(model)
+        assert len(own.spec.trie) and (own.spec.dummy_prefix, own.spec.remove_extra) == (bool(dummy), bool(remove))
+        texts = [r.text[:400] for r in docs.limit(60).collect()] + ["  ﬁn\t\tＡé abcd ab  ü ① ", "", " ", "a", " \t "]
+        normal, ids = own.encode([t.encode() for t in texts])
+        for t, (n, origin), i in zip(texts, normal, ids, strict=True):
+            assert i == theirs.encode(t)
+            spans, raw = own.spans(n, origin, np.array(i, np.int64)), t.encode()
+            assert spans is not None and len(spans) == len(i) and (spans[:, 0] <= spans[:, 1]).all() and (np.diff(spans[:, 0]) >= 0).all()
+            if i:
+                assert spans[-1, 1] <= len(raw)
+
+
+def test_spans_of_pieces_that_a_model_lacks():
+    """Without byte pieces an unknown stretch is one id; its span comes from the library's places."""
+    pieces = [(b"<unk>", 2), (b"<s>", 3), (b"</s>", 3), ("▁".encode(), 1), (b"a", 1), (b"b", 1), (b"ab", 1)]
+    model = b"".join(message((1, message((1, p)) + b"\x15" + struct.pack("<f", -float(k)) + message((3, kind)))) for k, (p, kind) in enumerate(pieces))
+    model += message((2, message((3, 2)))) + message((3, message((2, b""), (3, 1), (4, 0), (5, 1))))
+    e = sentencepieces.Encoder(model)
+    text = "ab xéx ba"
+    ((normal, origin),), (ids,) = e.encode([text.encode()])
+    spans = e.spans(normal, origin, np.array(ids, np.int64))
+    assert ids == e.sp.encode(text) and [text.encode()[a:b].decode() for a, b in spans if b > a] == ["ab", " ", "xéx", " ", "b", "a"]
+
+
 def build_map(rules):
     """A compiled character map in the same format, by brute force placement."""
     strings, at = b"", {}
@@ -228,6 +400,11 @@ def test_url_intervals(spark):
     captures = spark.createDataFrame(rows, "page_id long, url string, fetched string").withColumn("fetched", F.to_date("fetched"))
     got = {r.page_id: r.blocked for r in url_filters.filter_urls(captures, entries).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: False, 8: True, 9: False, 10: False}
+    twice = spark.createDataFrame([(1, "http://a.com/", day(5)), (1, "http://a.com/", day(10)), (1, "http://b.org/", day(1)), (None, "http://a.com/", day(6)), (1, "http://a.com/", day(5)), (1, None, day(5))], "page_id long, url string, fetched string").withColumn("fetched", F.to_date("fetched"))
+    got = Counter((r.page_id, r.host, str(r.fetched), r.blocked) for r in url_filters.filter_urls(twice, entries).collect())
+    assert got == {(1, "a.com", day(5), True): 2, (1, "a.com", day(10), False): 1, (1, "b.org", day(1), False): 1, (None, "a.com", day(6), True): 1, (1, None, day(5), False): 1}
+    deep = spark.createDataFrame([(1, "http://" + "s." * 300 + "a.com/" + "p/" * 20_000, day(6)), (2, "http://x.a.com/ok/" + "p/" * 20_000, day(6))], "page_id long, url string, fetched string").withColumn("fetched", F.to_date("fetched"))
+    assert {r.page_id: (r.n_block, r.n_allow, r.blocked) for r in url_filters.filter_urls(deep, entries).collect()} == {1: (1, 0, True), 2: (1, 1, False)}
     assert url_filters.filter_urls(captures.limit(0), entries).count() == 0
     assert url_filters.filter_urls(captures, entries.limit(0)).where("blocked").count() == 0
 
@@ -375,6 +552,22 @@ def test_hilbert(spark, docs, odd, empty):
     assert hilbert_sharding.op9_hilbert_sharding(empty).count() == 0
 
 
+def test_hilbert_order_and_pruning(spark, docs):
+    """Rows lie in the order of the curve; sources that share their first letters are told apart; shards prune."""
+    rows = [(k, f"text {k} " * (1 + k % 40), ["de", "en", "fr", None][k % 4], f"https://same.host/{k * 7919 % 64:02d}") for k in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("curve", F.lit("x"))
+    got = hilbert_sharding.op9_hilbert_sharding(df).collect()
+    bounds = hilbert_sharding.level_bounds(df.select("source"), ["source"], 16, 100_000)
+    assert len(bounds[0]) == 15
+    by_place = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.curve for r in by_place] == sorted(r.curve for r in got)
+    own = {d: (lang or "", s, len(t)) for d, t, lang, s in rows}
+    for k in range(3):
+        spread = [len({own[r.doc_id][k] for r in got if r.shard == s}) for s in range(8)]
+        assert np.mean(spread) < 0.75 * len({v[k] for v in own.values()})
+    assert hilbert_sharding.level_bounds(df.select("lang"), ["lang"], 16, 100_000) == [["de", "en", "fr"]]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(0)
     centre = rng.normal(size=(40, 32))
@@ -392,12 +585,53 @@ def test_embeddings(spark):
     np.fill_diagonal(near, False)
     n = {i: int(c) for i, c in zip(ids, near.sum(1), strict=True)}
     assert sum(n.values()) > 500
-    assert sum(got[i].n_links for i in ids) >= 0.99 * sum(n.values()) and all(got[i].n_links <= n[i] for i in ids)
+    assert {i: got[i].n_links for i in ids} == n
+    root = dict(zip(ids, ids, strict=True))
+    for _ in ids:
+        low = {i: min([root[i], *(root[ids[j]] for j in np.flatnonzero(near[k]))]) for k, i in enumerate(ids)}
+        if low == root:
+            break
+        root = low
+    assert {i: (got[i].component_id, got[i].kept) for i in ids} == {i: (root[i], root[i] == i) for i in ids}
     assert (got[1005].n_links, got[1006].component_id) == (1, 1005)
     assert all(got[k].n_links == 0 and got[k].kept for k in (1000, 1001, 1002, 1003, 1004, 1008)) and len(got) == 1009
     assert embedding_dedup.op10_embedding_near_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_with_copies_and_clashes(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(40, 16))
+    rows = [(k, v.tolist(), 1, "x") for k, v in enumerate(x)]
+    rows += [(1000 + k, x[3].tolist(), 1, "x") for k in range(500)] + [(2000 + k, (x[3] * 2 + 1e-3).tolist(), 1, "x") for k in range(300)]
+    rows += [(7, x[7].tolist(), 1, "again"), (8, x[3].tolist(), 1, "other vector, same id"), (None, x[3].tolist(), 1, "x"), (3000, x[3].tolist(), 2, "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string")
+    out = embedding_dedup.op10_embedding_near_dedup(df).collect()
+    assert len(out) == len(rows)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out}
+    # 3, 8, 500 copies and 300 near ones are linked with each other.
+    assert got[3] == (801, 3, True) and got[1000] == (801, 3, False) and got[2005] == (801, 3, False) and got[8][:2] == (801, 3)
+    assert got[7] == (0, 7, True) and got[3000] == (0, 3000, True) and got[None] == (0, None, None)
+
+
+def test_embedding_rows_are_linear_in_a_group(spark, monkeypatch):
+    """Vectors of one bucket are sent once a table for every CELL of them."""
+    rng = np.random.default_rng(3)
+    table, counts = Scratch.table, {}
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        counts.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    for m in (300, 900):
+        base = rng.normal(size=16)
+        df = spark.createDataFrame([(k, (base + 0.01 * rng.normal(size=16)).tolist(), 1) for k in range(m)], "vec_id long, embedding array<double>, label int")
+        assert {r.n_links for r in embedding_dedup.op10_embedding_near_dedup(df).collect()} == {m - 1}
+        sent = counts["d16-met"][-1].selectExpr("sum(aggregate(met, 0L, (z, t) -> z + t.blocks)) as n", "max(size(met)) as tables").first()
+        assert sent.n <= m * sent.tables
+
+
 @pytest.mark.parametrize("common", [0.8, 0.9])
 def test_embeddings_with_a_common_mean(spark, common):
     rng = np.random.default_rng(1)
@@ -452,7 +686,52 @@ def test_ngram_join(spark, docs, odd, empty):
     assert sum(v[1] for v in got.values()) >= 0.999 * sum(v[1] for v in want.values())
     assert {d: v[0] for d, v in got.items()} == {d: v[0] for d, v in want.items()}
     assert ngram_join.op2_ngram_jaccard_join(odd).count() == 11 and ngram_join.op2_ngram_jaccard_join(empty).count() == 0
-    assert 1 - (1 - 0.8 ** ngram_join.forest_depth()) ** ngram_join.TREES >= ngram_join.TARGET
+
+
+def test_ngram_join_of_words_alike_and_of_repeated_ids(spark):
+    a, b = thue_morse(10)
+    x = [f"x{k}" for k in range(30)]
+    rows = [(1, f"x {a}"), (2, f"x {b}"), (3, " ".join([*x, a])), (4, " ".join([*x, b])), (5, " ".join(x)), (5, "quite another text under the same id"), (6, "quite another text under the same id"), (None, " ".join([*x, "y"])), (None, " ".join(f"u{k}" for k in range(9))), (None, " ".join(f"u{k}" for k in range(9))), (7, " ".join(x)), (7, " ".join(x))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.op2_ngram_jaccard_join(df).collect())
+    # 3, 4, 5, 7, 7 and the one without an id share x; 5 comes twice with different texts.
+    assert got == {(1, 1, 0): 1, (2, 2, 0): 1, (3, 3, 5): 1, (4, 3, 5): 1, (5, 3, 5): 1, (5, 5, 1): 1, (6, 5, 1): 1, (None, 3, 5): 1, (None, None, 1): 2, (7, 3, 5): 2}
+    extra = df.withColumn("key", F.lit("k")).withColumn("repeats", F.lit(0)).withColumn("first", F.lit("f"))
+    kept = ngram_join.keep_first(extra, Scratch(spark, "t"))
+    assert kept.columns == extra.columns
+    assert sorted((r.doc_id or 0, r.text.split()[0]) for r in kept.collect()) == [(0, "u0"), (1, "x"), (2, "x"), (3, "x0"), (5, "quite")]
+
+
+def test_adaptive_depths(spark):
+    """Crowded trees keep longer prefixes while the others reach the target, and are shortened in order where they do not."""
+    rng = random.Random(1)
+    depth_of = lambda n: next((d for d, c in zip((6, 7, 8), n, strict=True) if c <= ngram_join.CROWDED), 8)
+    for crowd in (1, 8, 16, 24, 32):
+        trees = [(rng.randrange(-1 << 62, 1 << 62), sorted(rng.choices([3, 100, 500, 9000], k=3), reverse=True)) for _ in range(crowd)]
+        df = spark.createDataFrame([(trees,)], "trees array<struct<branch:bigint,n:array<bigint>>>")
+        got = [(t.branch, t.depth) for t in df.select(F.expr(ngram_join.chosen_depths()).alias("c")).first().c]
+        want = sorted((b, depth_of(n)) for b, n in trees)
+        have = ngram_join.gain(5) * (32 - crowd) + sum(ngram_join.gain(d) for _, d in want)
+        for k, (b, d) in enumerate(want):
+            if have < ngram_join.needed():
+                have, want[k] = have + ngram_join.gain(5) - ngram_join.gain(d), (b, 5)
+        assert got == want and have >= ngram_join.needed()
+
+
+def test_ngram_sets_are_linear_in_a_group(spark, monkeypatch):
+    table, members = Scratch.table, []
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        members.extend([out] if name == "placed" else [])
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    for m in (250, 500):
+        rows = [(k, " ".join([f"w{j}" for j in range(60)] + [f"own{k}"])) for k in range(m)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert {(r.class_id, r.n_links) for r in ngram_join.op2_ngram_jaccard_join(df).collect()} == {(0, m - 1)}
+        assert members[-1].selectExpr("sum(parts) as n").first().n == m
 
 
 def test_components(spark):
