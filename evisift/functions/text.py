@@ -14,6 +14,8 @@ SUBSTANTIVE_SENTENCE = r"(?i)\b(methods?|participants?|intervention|procedure|an
 SUBSTANTIVE_TEXT = r"(?i)\b(results?|findings|analysis|effect|improv(?:ed|ement)|increase|decrease|significant|comparison|group|sample|participants?|outcome|baseline|follow[- ]?up)\b"
 METHOD_EVIDENCE = r"(?i)\b(methods?|methodology|materials?\s+and\s+methods?|study\s+design|participants?|recruit(?:ed|ment)?|intervention|procedure|protocol|randomi[sz]ed|outcome\s+measure|baseline|follow[- ]?up)\b"
 REFERENCE_HEAD = r"(?i)\b(references|bibliography|acknowledg(?:e)?ments?)\b"
+REFERENCE_LINE = r"(?imd)^[^\S\n]{0,3}(?:#{1,6}[^\S\n]*)?(?:[0-9]{1,2}(?:\.[0-9][0-9.]*)?[.)]?[^\S\n]*)?(?:references?|bibliography|works\s+cited|literature\s+cited)[^\S\n]*:?[^\S\n]*$"
+WHITE = " \t\n\r\f\x0b"
 REFERENCE_ENTRY = r"\b[A-Z][a-z]+\s*(?:et\s+al\.?|,\s*[A-Z]\.)\s*\(?[12][0-9]{3}\)?"
 BOILERPLATE_STRONG = ["authorized licensed use", "downloaded on", "ieee xplore", "all rights reserved", "creative commons attribution", "distributed under the terms", "open-access", "copyright", r"\bissn\b", r"\bisbn\b"]
 BOILERPLATE_WEAK = [r"\bdoi\b", r"\bcitation\b", "published", "accepted", "received", r"front\.", "journal", "license"]
@@ -29,7 +31,13 @@ SECTIONS = {
     "reference": "references?|bibliography|acknowledg(?:e)?ments?",
 }
 TOKENS_PER_WORD, CHUNK_OVERHEAD, LEAST_CHUNK = 1.3, 28, 32
-_NUMBERED = r"^\s*(?:[0-9]+(?:\.[0-9]+)*)?\s*"
+#: A number such as 3.1.2, as a loop over characters: a repeated group would recurse once a part.
+_NUMBERED = r"^\s*(?:(?![0-9.]*\.\.)[0-9][0-9.]*(?<!\.))?\s*"
+
+
+def strip(text: Column) -> Column:
+    """Without white space at both ends; a search for a run at the end would begin anew at each of its characters."""
+    return F.trim(text, F.lit(WHITE))
 
 
 def hits(text: Column, pattern: str) -> Column:
@@ -56,7 +64,7 @@ def _spaced(text: Column) -> Column:
 def repair(text: Column) -> Column:
     """One line of text, hyphens at line breaks joined and lost spaces put back, in this order."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "­", "")
-    t = F.regexp_replace(t, r"(\w)-\s*\n\s*(\w)", "$1$2")
+    t = F.regexp_replace(t, r"(\w)-[^\S\n]*\n\s*(\w)", "$1$2")
     t = _spaced(F.regexp_replace(t, r"[\r\n\t]+", " "))
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
@@ -64,11 +72,11 @@ def repair(text: Column) -> Column:
 def repair_lines(text: Column) -> Column:
     """The same repairs line by line; artefact lines go, runs of blank lines become one."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "­", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"(\w)-\s*\n\s*(\w)", "$1$2"), "\r\n?", "\n")
-    lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, r"^\s+|\s+$", "")))
+    t = F.regexp_replace(F.regexp_replace(t, r"(\w)-[^\S\n]*\n\s*(\w)", "$1$2"), "\r\n?", "\n")
+    lines = F.transform(F.split(t, "\n"), lambda x: strip(x))
     kept = F.filter(lines, lambda x: (x == "") | ~F.array_contains(F.array(*[x.rlike(p) for p in DROPPED_LINES]), True))
     fixed = F.transform(kept, lambda x: _spaced(F.regexp_replace(x, "[\t ]+", " ")))
-    return F.regexp_replace(F.regexp_replace(F.array_join(fixed, "\n"), "\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    return strip(F.regexp_replace(F.array_join(fixed, "\n"), "\n{3,}", "\n\n"))
 
 
 def chunk_line(line: Column) -> Column:
@@ -142,8 +150,8 @@ def reason_text(x: Column, default: str = "unspecified") -> Column:
 
 
 def before_references(text: Column) -> Column:
-    """P45."""
-    return F.get(F.split(text, r"(?im)^\s*(?:references|bibliography)\s*$", 2), 0)
+    """What comes before the first line that is a heading of references, without blanks around it."""
+    return strip(F.get(F.split(text, REFERENCE_LINE, 2), 0))
 
 
 def readability(text: Column) -> dict[str, Column]:

@@ -37,24 +37,41 @@ def ascii_fold(text: str | None) -> str:
     return " ".join(re.sub(r"[^a-z0-9]+", " ", re.sub(r"\.pdf$", "", t)).split())
 
 
+def _objects(t: str, begin: int, met: set[int]) -> tuple[int, int] | None:
+    """Begin and end of the first object that closes, reading from a brace on; met gets the braces read outside strings."""
+    stack, quoted, escaped, found = [], False, False, None
+    for i in range(begin, len(t)):
+        c = t[i]
+        if quoted:
+            quoted, escaped = escaped or c != '"', not escaped and c == "\\"
+        elif c == '"':
+            quoted = True
+        elif c == "{":
+            met.add(i)
+            stack.append(i)
+        elif c == "}":
+            at = stack.pop()
+            if found is None or at < found[0]:
+                found = (at, i + 1)
+            if not stack:
+                break
+    return found
+
+
 def json_object(text: str | None) -> str | None:
-    """The first balanced object of a text, strings and escapes honoured."""
-    t = text or ""
+    """The first balanced object of a text, strings and escapes honoured.
+
+    One reading settles all braces that it meets outside strings, so a text full of open braces is read once or twice.
+    """
+    t, met, best = text or "", set(), None
     begin = t.find("{")
-    while begin >= 0:
-        depth, quoted, escaped = 0, False, False
-        for i in range(begin, len(t)):
-            c = t[i]
-            if quoted:
-                quoted, escaped = escaped or c != '"', not escaped and c == "\\"
-            elif c == '"':
-                quoted = True
-            elif c in "{}":
-                depth += 1 if c == "{" else -1
-                if not depth:
-                    return t[begin : i + 1]
+    while begin >= 0 and (best is None or begin < best[0]):
+        if begin not in met:
+            found = _objects(t, begin, met)
+            if found and (best is None or found[0] < best[0]):
+                best = found
         begin = t.find("{", begin + 1)
-    return None
+    return t[best[0] : best[1]] if best else None
 
 
 def without_authors(text: str | None, authors: str | None) -> str:

@@ -201,4 +201,4 @@ def distinct_casefold(items: Column) -> Column:
 
 def single_blank_lines(text: Column) -> Column:
     """One blank line of each run."""
-    return F.regexp_replace(text, r"\n[ \t]*(?:\n[ \t]*)+\n", "\n\n")
+    return F.regexp_replace(text, r"\n[ \t]*\n[ \t\n]*\n", "\n\n")

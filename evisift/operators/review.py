@@ -145,7 +145,7 @@ def gold_value(value: Column, score: Column, note: Column) -> Column:
 def informative(hit: Column) -> Column:
     """not blank, no dotted leader, no licence or header phrase."""
     t = F.trim(F.coalesce(hit, F.lit("")))
-    return (t != "") & ~t.rlike(r"(?:\.\s*){5,}") & ~F.greatest(F.lit(False), *[F.contains(F.lower(t), F.lit(p)) for p in WEAK_PHRASES])
+    return (t != "") & ~t.rlike(r"(?:\.\s*){5}") & ~F.greatest(F.lit(False), *[F.contains(F.lower(t), F.lit(p)) for p in WEAK_PHRASES])
 
 
 def trace_evidence(reports: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def monitoring_only(text: Column, topic: str, monitoring: str, action: str) -> C
 def term_score(text: Column, positive: dict[str, float], negative: dict[str, float], section_bonus: Column, page: Column) -> Column:
     """Weighted term hits, a bonus of the section, less late pages, with length."""
     tokens = words(F.lower(text))
-    worth = lambda terms: sum((F.size(F.filter(tokens, lambda w, t=t: w == t)) * F.lit(v) for t, v in terms.items()), F.lit(0.0))
+    count = lambda t: F.size(F.filter(tokens, lambda w: w == t))
+    worth = lambda terms: sum((count(t) * F.lit(v) for t, v in terms.items()), F.lit(0.0))
     return worth(positive) - worth(negative) + section_bonus - F.when(page > 10, 0.5).otherwise(0.0) + F.least(F.size(tokens) / 200.0, F.lit(1.0))
 
 

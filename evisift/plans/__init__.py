@@ -1,6 +1,6 @@
 """All registered queries: importing the modules registers them."""
 
-from . import assembly
+from . import assembly, coverage
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "assembly"]
+__all__ = ["ORACLE_SQL", "QUERIES", "assembly", "coverage"]

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from evisift.functions import stats, text, udfs, values
-from evisift.operators import evidence, extraction, linkage, operations, relational, retrieval
+from evisift.operators import contexts, evidence, extraction, linkage, operations, relational, retrieval, review, signals
 from evisift.plans import registry
 from evisift.sources import records
 from evisift.streaming import incremental
@@ -255,3 +255,39 @@ def test_list_values_and_margin_lines_are_trimmed(spark):
     assert one(spark, extraction.coerce(F.col("t"), "list"), t="0 rats; 10 mice;\n 22") == ["0 rats", "10 mice", "22"]
     pages = spark.createDataFrame([(1, p, f"  0 Journal of Rivers \nbody {p}\n1 foot {p}") for p in range(4)], "paper int, page int, text string")
     assert "journal of rivers" in {r.line for r in relational.margin_lines(pages, "paper", "page", "text").collect()}
+
+
+def test_json_object_equals_a_plain_version():
+    import random
+
+    def plain(t):
+        for begin in [i for i, c in enumerate(t) if c == "{"]:
+            depth, quoted, escaped = 0, False, False
+            for i in range(begin, len(t)):
+                c = t[i]
+                if quoted:
+                    quoted, escaped = escaped or c != '"', not escaped and c == "\\"
+                elif c == '"':
+                    quoted = True
+                elif c in "{}":
+                    depth += 1 if c == "{" else -1
+                    if not depth:
+                        return t[begin : i + 1]
+        return None
+
+    rng = random.Random(3)
+    for _ in range(20_000):
+        t = "".join(rng.choice('{}"\\a ') for _ in range(rng.randrange(14)))
+        assert udfs.json_object(t) == plain(t), t
+    assert udfs.json_object("{" * 300_000) is None and udfs.json_object('{"a":' * 100_000) is None
+
+
+def test_long_texts_of_one_kind(spark):
+    """Runs that a repeated group would recurse over, or that a search would begin anew at each character of."""
+    n = 30_000
+    texts = ["-" + "\n" * n + "!", "x" + " " * n + "x", "x" + "\t \n" * n + "x", "1" * n, "a " * n, "1.1." * n, "\n" * n, " \n" * n, "[1,2] " * n, ". " * n, "a b c d e f " * n, "{" * n, "x" * n]
+    t = F.col("t")
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    made = [text.repair(t), text.repair_lines(t), text.chunk_line(t), text.margin_key(t), text.low_information(t), text.low_quality(t), text.section(t)[0], text.before_references(t), text.is_boilerplate(t), contexts.single_blank_lines(t), review.informative(t), review.note_usable(t), signals.gates(t), contexts.section_of(t, t), *text.readability(t).values()]
+    out = df.select(*[F.length(c.cast("string")).alias(f"c{k}") for k, c in enumerate(made)]).collect()
+    assert len(out) == len(texts) and out[1].c0 == 3
