@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import dot, norm
-from ..llm.runtime import Scratch
+from ..sources.scratch import Scratch
 
 # Fixed values.
 SECTION_CAP, PAGE_WINDOW, PAGE_CAP, NEAR_DUPLICATE, POOL = 2, 2, 2, 0.82, 200
