@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators import contexts, evidence, extraction, operations, relational, review, signals, validation
+from ..operators import contexts, evidence, extraction, operations, relational, review, selection, signals, validation
 from . import registry
 from .registry import _CONTENT, _SCORED, _TOKENS, _chain, _lines, _sum_sql
 
@@ -712,3 +712,34 @@ def flattened_results(supplier):
     nested = F.struct(F.struct(F.col("s_suppkey").cast("long").alias("size_value"), F.lit(None).cast("string").alias("size_quote"), F.array(F.lit("a"), F.col("s_name")).alias("groups_value"), F.lit(None).cast("string").alias("groups_quote")).alias("population"))
     flat = supplier.select("s_suppkey", nested.cast(schema).alias("r")).select("s_suppkey", *extraction.flatten(schema, "r"))
     return flat.unpivot("s_suppkey", ["`population.size_value`", "`population.groups_value`"], "name", "value").withColumn("name", F.regexp_replace("name", "`", ""))
+
+
+# --- selection of passages
+
+CUES = {"action": "(?i)a[eo]", "primary": "(?i)[ou]r", "secondary": "(?i)en", "watched": "(?i)thing"}
+
+
+def passages(documents: DataFrame) -> DataFrame:
+    """Each line of a document as a passage of it, with similarities drawn by a hash; every fifth line is one set aside."""
+    lines = documents.where("text is not null").select(F.col("doc_id").alias("paper_id"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    draw = lambda salt: F.pmod(F.xxhash64("paper_id", "line", F.lit(salt)), F.lit(1000)) / 10000
+    own = F.array(*[F.lit(s) for s in ("", "methods", "results", "references", "introduction", "conclusion", "discussion")])
+    label = F.when(F.col("line") % 3 == 0, F.element_at(own, (F.col("line") / 3 % 7 + 1).cast("int"))).otherwise("")
+    return lines.select(
+        "paper_id", F.concat_ws("::", F.col("paper_id").cast("string"), F.lpad(F.col("line").cast("string"), 6, "0")).alias("chunk_id"), F.when(F.col("line") == 0, "title").otherwise("full_text").alias("kind"), label.alias("section"), "text",
+        (F.col("line") / 4 + 1).cast("int").alias("page"), "line", (F.size(F.split("text", "[.!?]")) - 1).alias("sentences"), draw("s").alias("score"), draw("p").alias("pos_score"), draw("n").alias("neg_score"), (F.col("line") % 5 == 4).alias("extra"),
+    )
+
+
+@query()
+def passage_selection(documents):
+    """T5 with T2, T3, T4, T6, T7, T8, T9, J19 and W13: the lines of each document as its passages."""
+    out = selection.select(passages(documents), **CUES)
+    return out.withColumn("sources", F.array_join("sources", ","))
+
+
+@query()
+def passage_priority(documents):
+    """Each passage's place by priority and its hybrid score."""
+    rows = selection.prepared(passages(documents), **CUES).select("paper_id", F.posexplode("rows").alias("p", "r"))
+    return rows.select("paper_id", (F.col("p") + 1).alias("place"), F.col("r.chunk_id").alias("chunk_id"), F.round("r.hybrid", 6).alias("hybrid_score"))
