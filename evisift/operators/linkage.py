@@ -11,12 +11,24 @@ from ..functions.values import jaccard
 LEAST_SCORE, LEAST_GAP = 55.0, 8.0
 
 
-def candidates(targets: DataFrame, others: DataFrame, token: str = "tokens", most_common: int = 200) -> DataFrame:
-    """Pairs that share a token which at most so many targets have: an equi-join instead of every pair."""
-    t = targets.select("target_id", F.explode(token).alias("token"))
-    rare = t.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most_common)
-    o = others.select("other_id", F.explode(token).alias("token"))
-    return t.join(rare.select("token"), "token").join(o, "token").select("target_id", "other_id").distinct()
+def candidates(targets: DataFrame, others: DataFrame, token: str = "tokens", least: float = 0.0) -> DataFrame:
+    """Pairs that share a token: an equi-join instead of every pair.
+
+    With ``least``, only pairs whose token sets may have that Jaccard similarity or more, and all of them: each set is
+    looked up by its rarest tokens, as many as any set that similar must share one of, so common tokens pair nothing.
+    """
+    t, o = (df.select(key, F.array_distinct(token).alias("all")) for df, key in ((targets, "target_id"), (others, "other_id")))
+    t, o = (df.select("*", F.explode("all").alias("token")) for df in (t, o))
+    if least > 0:
+        seen = t.select("token").unionByName(o.select("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+        def rare(df: DataFrame, key: str) -> DataFrame:
+            sets = df.join(seen, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("s"))
+            many = F.size("s") - F.ceil(F.size("s") * least - 1e-9) + 1
+            return sets.select(key, F.explode(F.slice("s", F.lit(1), many.cast("int"))).alias("x")).select(key, F.col("x.token").alias("token"))
+
+        t, o = rare(t, "target_id"), rare(o, "other_id")
+    return t.select("target_id", "token").join(o.select("other_id", "token"), "token").select("target_id", "other_id").distinct()
 
 
 def decide(scored: DataFrame) -> DataFrame:

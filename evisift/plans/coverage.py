@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators import contexts, evidence, extraction, operations, relational, review, selection, signals, validation
+from ..operators import bootstrap, contexts, evidence, extraction, linkage, operations, relational, review, selection, signals, validation
 from . import registry
 from .registry import _CONTENT, _SCORED, _TOKENS, _chain, _lines, _sum_sql
 
@@ -743,3 +743,107 @@ def passage_priority(documents):
     """Each passage's place by priority and its hybrid score."""
     rows = selection.prepared(passages(documents), **CUES).select("paper_id", F.posexplode("rows").alias("p", "r"))
     return rows.select("paper_id", (F.col("p") + 1).alias("place"), F.col("r.chunk_id").alias("chunk_id"), F.round("r.hybrid", 6).alias("hybrid_score"))
+
+
+# --- examples and hints
+
+
+@query("""
+WITH w AS (SELECT p_partkey, list_transform(regexp_extract_all(lower('Dom ' || replace(p_name, '_', ' ') || ' ' || p_type || ' the x-ray'), '[A-Za-z][A-Za-z0-9+\\-]{2,}'), lambda x: regexp_replace(x, '^-+|-+$', '', 'g')) AS l FROM part),
+d AS (SELECT p_partkey, list_concat(['alias one'], list_filter(l, lambda x: x NOT IN ('the', ''))) AS l FROM w)
+SELECT p_partkey, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i)[1:4], ',') AS terms FROM d""")
+def variable_terms(part):
+    """R14, T18."""
+    terms = bootstrap.search_terms(F.array(F.lit("alias one")), [F.lit("Dom"), F.col("p_name"), F.lit(None).cast("string"), F.col("p_type"), F.lit("the x-ray")], ["the"], 4)
+    return part.select("p_partkey", F.array_join(terms, ",").alias("terms"))
+
+
+@query("""
+WITH h AS (SELECT p_brand, p_partkey AS pos, p_type AS domain, r.r AS rank, repeat('x', p_size::INTEGER + r.r) AS line FROM part, (SELECT unnest([0, 1]) AS r) r),
+o AS (SELECT *, lag(rank) OVER w IS NULL OR lag(rank) OVER w <> rank OR lag(domain) OVER w <> domain AS opens FROM h WINDOW w AS (PARTITION BY p_brand ORDER BY rank, pos)),
+u AS (SELECT *, 10 + sum(length(line) + CASE WHEN opens THEN length('Domain: ' || domain) ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY rank, pos) AS upto FROM o)
+SELECT p_brand, rank, pos, opens AS opens_domain, row_number() OVER (PARTITION BY p_brand ORDER BY rank, pos) AS place FROM u WHERE upto <= 3500""")
+def hint_budget(part):
+    """Two hints of every part of a brand, its type as their domain."""
+    own = part.select("p_brand", F.col("p_partkey").alias("variable_pos"), F.col("p_type").alias("domain"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"), F.col("p_size").cast("int").alias("q"))
+    hints = own.select("p_brand", "variable_pos", "domain", "rank", F.expr("repeat('x', q + rank)").alias("line"))
+    return bootstrap.breadth_first(hints, ["p_brand"], 3500, 10).select("p_brand", "rank", F.col("variable_pos").alias("pos"), "opens_domain", F.col("place").cast("long").alias("place"))
+
+
+@query("""
+WITH c AS (SELECT c_nationkey, c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 11 > 0 THEN c_custkey % 7 END AS page, c_acctbal / 20 AS score FROM customer), n AS (SELECT *, count(*) OVER (PARTITION BY c_nationkey) > 40 AS plenty FROM c),
+l AS (SELECT *, score < -30 OR (plenty AND page IS NOT NULL AND row_number() OVER (PARTITION BY c_nationkey, page, score >= -30 ORDER BY score DESC, id) > 1) AS late FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY late, score DESC, id) AS place FROM l) SELECT c_nationkey, id AS chunk_id, late, place FROM r WHERE place <= 10""")
+def diverse_passages(customer):
+    """Customers as the passages of their nation."""
+    chunks = customer.select("c_nationkey", F.col("c_custkey").cast("string").alias("chunk_id"), F.when(F.col("c_custkey") % 11 > 0, F.col("c_custkey") % 7).alias("page"), (F.col("c_acctbal") / 20).alias("score"))
+    return bootstrap.diverse_passages(chunks, ["c_nationkey"], 10).select("c_nationkey", "chunk_id", "late", F.col("place").cast("long").alias("place"))
+
+
+_SIGNALS, _AGAINST = ["thing", "token", "the "], ["not", "sample"]
+_WORDS_OF = "regexp_extract_all({x}, '[A-Za-z0-9][A-Za-z0-9''/_\\-]*')"
+
+
+def _hits_sql(words: list[str]) -> str:
+    return " + ".join(f"contains(lower(t), '{w}')::INTEGER" for w in words)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS_OF.format(x="coalesce(text, '')")} AS w FROM documents),
+m AS (SELECT *, len(w) AS n, greatest(length(t), 1) AS size, length(array_to_string(w, '')) / greatest(len(w), 1) AS avg_len, len(list_filter(w, lambda x: length(x) <= 2)) / greatest(len(w), 1) AS short,
+  len(regexp_extract_all(t, '[0-9]')) / greatest(length(t), 1) AS digits, len(regexp_extract_all(t, '[^\\p{{L}}\\p{{N}} .,;:!?()\\[\\]{{}}\\-_/''"]')) / greatest(length(t), 1) AS bad, len(regexp_extract_all(t, '\\p{{L}}')) / greatest(length(t), 1) AS alpha,
+  {_hits_sql(_SIGNALS)} + {_hits_sql(_AGAINST)} AS hits, regexp_matches(lower(t), 'et al') AS ref, regexp_matches(lower(t), 'license') AS low FROM d)
+SELECT doc_id, n AS word_count, CASE WHEN n > 0 THEN hits ELSE 0 END AS signal_hits, round(CASE WHEN n > 0 THEN hits * 2.0 + least(n, 160) / 80.0 - short * 5.0 - digits * 2.0 - bad * 30.0 + alpha * 1.5 + least(avg_len, 7.0) / 4.0 - CASE WHEN ref THEN 6.0 ELSE 0.0 END - CASE WHEN low THEN 5.0 ELSE 0.0 END ELSE -999.0 END, 6) AS score FROM m""")
+def window_quality(documents):
+    """R24."""
+    m = bootstrap.window_quality(F.col("text"), _SIGNALS, _AGAINST, {"method": ["method"]}, "et al", "license")
+    return documents.select("doc_id", m["word_count"].cast("long").alias("word_count"), m["signal_hits"].cast("long").alias("signal_hits"), F.round(m["score"], 6).alias("score"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey, lower(p_type) || ' ' || lower(p_name) AS b, p_name FROM part), f AS (SELECT *, list_filter(['green', 'ring', 'steel', 'blue', 'anvil'], lambda x: contains(b, x))[1:4] AS l, list_filter(['green', 'ring'], lambda x: contains(lower(p_name), x)) AS tags FROM p)
+SELECT p_partkey, CASE WHEN len(l) > 0 THEN 'terms: ' || array_to_string(l, ', ') ELSE 'weak fit' END AS reason, CASE WHEN len(tags) > 0 THEN array_to_string(tags, ', ') ELSE 'general' END AS tags FROM f""")
+def example_reasons(part):
+    """H37, H38."""
+    chunks = part.select(F.col("p_partkey").cast("string").alias("paper_id"), F.col("p_type").alias("title"), F.col("p_name").alias("text"), F.lit(3).alias("page"))
+    out = bootstrap.example_rows(chunks, "NEG", [], ["green", "ring", "steel", "blue", "anvil"], ["green", "ring"])
+    return out.select(F.split_part("source", F.lit(" | "), F.lit(1)).cast("long").alias("p_partkey"), "reason", "tags")
+
+
+@query("SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[a-z][a-z0-9\\-]{2,}'), lambda w: w NOT IN ('the', 'and', ''))) AS n FROM documents WHERE text IS NOT NULL")
+def example_tokens(documents):
+    """H39."""
+    return documents.where("text is not null").select("doc_id", F.size(bootstrap.example_tokens(F.col("text"), ["the", "and"])).cast("long").alias("n"))
+
+
+@query("SELECT p_partkey, least(p_size, least(p_partkey % 9, 4) + greatest(p_partkey % 5 - p_partkey % 3, 0)) AS positives, least(p_partkey % 9, 4) AS negatives FROM part")
+def draft_balance(part):
+    """H91."""
+    k = F.col("p_partkey")
+    pos, neg = bootstrap.needed(F.col("p_size").cast("long"), k % 9, k % 3, k % 5, 4)
+    return part.select("p_partkey", pos.alias("positives"), neg.alias("negatives"))
+
+
+_AUTHORS = ["Smith, John; Doe, J.", "Ann O'Neil", "", None, "van den Berg, A", "Li; Wu"]
+
+
+@query(f"SELECT s_suppkey, {_pick('s_suppkey', ['smith', 'ann', '', '', 'vandenberg', 'li'])} AS surname, {_pick('s_suppkey', ['qc_sample', 'remaining_sample', 'remaining_sample', 'qc_sample', None])} AS run FROM supplier")
+def surnames_and_runs(supplier):
+    """P26, H16."""
+    k = F.col("s_suppkey")
+    run = bootstrap.run_label(_nth("s_suppkey", ["x_QC_sample.csv", "remaining_sample.csv", "a", "b", "c"]), k % 5 == 2, k % 5 == 3)
+    return supplier.select("s_suppkey", bootstrap.first_surname(_nth("s_suppkey", _AUTHORS)).alias("surname"), run.alias("run"))
+
+
+@query("SELECT c_custkey::VARCHAR AS \"Covidence #\", c_name AS \"TITLE\", '' AS other FROM customer")
+def metadata_rows(customer):
+    """H26."""
+    return customer.select(*bootstrap.metadata_row(["Covidence #", "TITLE", "other"], {"covidence": F.col("c_custkey"), "Title": F.col("c_name")}))
+
+
+@query()
+def composite_linkage(part):
+    """Parts beside files named for their brand, size and the first word of their name; the ratio has no SQL."""
+    t = part.select(F.col("p_partkey").cast("string").alias("target_id"), F.regexp_replace(F.lower("p_brand"), "[^a-z0-9]", "").alias("author"), (F.col("p_size") + 1950).cast("string").alias("year"), F.col("p_name").alias("title"))
+    o = part.where("p_partkey % 3 = 0").select(F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("other_id"), F.concat_ws(" ", F.regexp_replace(F.lower("p_brand"), "#", " "), (F.col("p_size") + 1950).cast("string"), "p_name").alias("name"), (F.col("p_size") + 1950).cast("string").alias("year"))
+    return linkage.decide(bootstrap.link_scores(t, o))

@@ -389,7 +389,7 @@ def fuzzy_link(part):
     """J16 (token part), W7, M17: blocked by shared tokens."""
     t = part.select(F.col("p_name").alias("target_id")).distinct().withColumn("tokens", F.split("target_id", " "))
     o = part.select(F.concat("p_type", F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("other_id")).distinct().withColumn("tokens", F.array_distinct(F.split(F.lower("other_id"), " ")))
-    return linkage.decide(linkage.score_tokens(linkage.candidates(t, o, most_common=1_000_000), t, o))
+    return linkage.decide(linkage.score_tokens(linkage.candidates(t, o), t, o))
 
 
 def _terms(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -291,3 +291,33 @@ def test_long_texts_of_one_kind(spark):
     made = [text.repair(t), text.repair_lines(t), text.chunk_line(t), text.margin_key(t), text.low_information(t), text.low_quality(t), text.section(t)[0], text.before_references(t), text.is_boilerplate(t), contexts.single_blank_lines(t), review.informative(t), review.note_usable(t), signals.gates(t), contexts.section_of(t, t), *text.readability(t).values()]
     out = df.select(*[F.length(c.cast("string")).alias(f"c{k}") for k, c in enumerate(made)]).collect()
     assert len(out) == len(texts) and out[1].c0 == 3
+
+
+def test_link_scores_and_rare_tokens(spark):
+    import difflib
+    import random
+
+    from evisift.operators import bootstrap
+
+    rng = random.Random(5)
+    vocabulary = [f"word{k}" for k in range(25)] + ["the", "of"] * 6
+    titles = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    targets = [(f"t{k}", rng.choice(["smith", "vandenberg", "", "li"]), rng.choice(["2001", "2002", ""]), t) for k, t in enumerate(titles)]
+    others = [(f"o{k}", f"{rng.choice(['smith', 'van den berg', 'jones', 'li'])} {y} {rng.choice(titles)}", y) for k, y in enumerate(rng.choices(["2001", "2002", "2003"], k=70))]
+    t, o = spark.createDataFrame(targets, "target_id string, author string, year string, title string"), spark.createDataFrame(others, "other_id string, name string, year string")
+    got = {(r.target_id, r.other_id): r.score for r in bootstrap.link_scores(t, o).collect()}
+    for ti, author, ty, title in targets:
+        for oi, name, oy in others:
+            w = name.split()
+            runs = {"".join(w[i : i + n]) for i in range(len(w)) for n in (1, 2, 3)}
+            a, b = ({x for x in v.split() if len(x) >= 3} for v in (title, name))
+            full = 40 * (author != "" and author in runs) + 25 * (ty != "" and ty == oy) + 25 * difflib.SequenceMatcher(None, title, name).ratio() + 10 * (len(a & b) / len(a | b))
+            if (ti, oi) in got:
+                assert got[ti, oi] == pytest.approx(full, abs=1e-5)
+            else:
+                assert full < 55
+    sets_t, sets_o = [(f"t{k}", x.split()) for k, x in enumerate(titles)], [(f"o{k}", x.split()) for k, x in enumerate(reversed(titles))]
+    pairs = linkage.candidates(spark.createDataFrame(sets_t, "target_id string, tokens array<string>"), spark.createDataFrame(sets_o, "other_id string, tokens array<string>"), least=0.6)
+    met = {(r.target_id, r.other_id) for r in pairs.collect()}
+    near = {(x, y) for x, a in sets_t for y, b in sets_o if len(set(a) & set(b)) >= 0.6 * len(set(a) | set(b))}
+    assert near <= met and len(met) < 3600
