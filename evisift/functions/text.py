@@ -1,6 +1,6 @@
 """Text expressions: repair, normal forms, quality rules.  All are columns of built-in functions.
 
-Operators: P8 P9 P10 P11 P14 P17 P18 P19 P20 P21 P22 P23 P27 P28 P29 P45 P47 P50 F1 F2 F3 F4 F5 F6 F7 F14 R2 R3.
+Operators: P5 P7 P8 P9 P10 P11 P14 P17 P21 P22 P23 P27 P28 P29 P45 P49 F1 F2 F3 F4 F5 F6 F7 F14 R3.
 """
 
 from __future__ import annotations

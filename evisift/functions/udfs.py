@@ -1,6 +1,6 @@
 """The few functions that no built-in expression covers, as Arrow batches.
 
-Operators: P12 P24 P25 P26 P35 R1 J16 (ratio).
+Operators: P12 P24 P35 R1.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Value matching and decision parsing.
 
-Operators: M1 M2 M3 M4 M5 M8 M10 M14 U7 U8 P30 P31 P32 P33 P34 P36 P40 F15 F16 F17 F18 F19 R8 H64 H77.
+Operators: P30 P31 P32 P34 F17 F19 U7 U8 M3 M4 M5 M14 R8.
 """
 
 from __future__ import annotations
@@ -73,6 +73,12 @@ def content_tokens(x: Column) -> Column:
     return F.array_distinct(F.filter(cut, lambda t: (F.length(t) >= 2) & ~t.isin([*STOP_WORDS, "not"])))
 
 
+def shares(a: Column, b: Column, both: Column) -> tuple[Column, Column]:
+    """U7, U8 of the sizes of two sets and of what they share, which is then worked out once."""
+    least, union = F.least(a, b), a + b - both
+    return F.when(least > 0, both / least).otherwise(0.0), F.when(union > 0, both / union).otherwise(0.0)
+
+
 def overlap(a: Column, b: Column) -> Column:
     """U7."""
     least = F.least(F.size(a), F.size(b))

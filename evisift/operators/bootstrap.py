@@ -1,6 +1,6 @@
 """Examples and hints drawn from passages: search terms, breadth-first hints, diverse passages, quality of a window.
 
-Operators: P26 R14 R24 T10 T12 T18 H7 H16 H26 H37 H38 H39 H91 J16.
+Operators: P26 J16 T10 T12 T18 R14 R24 H7 H16 H26 H37 H38 H39 H91.
 """
 
 from __future__ import annotations

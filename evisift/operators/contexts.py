@@ -1,6 +1,6 @@
 """What goes to a model as context, and how the flags of its answer become columns.
 
-Operators: P13 P15 P16 P41 P42 P43 P44 R4 R6 R7 F9 F11 F12 F13 F20 H42 H48 H50 H52 H53 H59 H67 H68 U6 W16.
+Operators: P13 P15 P16 P41 P42 P43 P44 F9 F11 F12 F13 F20 W16 U6 R4 R6 R7 H42 H48 H50 H52 H53 H59 H67 H68.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Evidence lines, hints and windows, all within each document's row.
 
-Operators: J20 P46 R13 R15 R22 R23 R25 T11 W10 W15 H34 H60.
+Operators: P46 J20 W10 W15 T11 R13 R15 R23 H34 H60.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Extraction schemas, typed values, nested, long and wide form.
 
-Operators: S9 R11 R12 R20 P36 P37 P38 P39 A5 A26 M11 J11 J14 M15 H98.
+Operators: S9 P36 P38 J14 A5 M11 M14 R11 R12 R20.
 """
 
 from __future__ import annotations

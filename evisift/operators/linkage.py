@@ -1,4 +1,4 @@
-"""Fuzzy record linkage in blocks.  Operators: J16 W7 M17 H35 T16."""
+"""Fuzzy record linkage in blocks.  Operators: W7 M17."""
 
 from __future__ import annotations
 

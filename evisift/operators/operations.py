@@ -1,6 +1,6 @@
 """Run catalogue, retries, resources, mismatches and review summaries.
 
-Operators: A17 A18 A20 A21 A22 A23 A25 A27 A29 F8 F27 H9 H13 H15 H19 H20 J2 J10 J23 K11 K12 K13 M10 M16 P18 P19 P48.
+Operators: K4 K11 K13 P18 P19 P48 F8 F27 J2 J23 A17 A18 A20 A21 A22 A23 A25 A27 A29 M10 M16 H9 H13 H15 H19 H20.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Prompt texts and settings: sections, term lists, flags and groups of domains.  One short text each, read on the driver.
 
-Operators: R16 R17 R19 H54 H60 H62 H70 H71 H72 H76 H78 H80 H81 H84.
+Operators: R16 R17 R19 H54 H62 H70 H71 H72 H76 H78 H80 H81 H84.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Relational operators over any DataFrame.
 
-Operators: J1 J3 J4 J5 J6 J8 W1 W3 W4 W5 W6 W7 W12 T1 T13 T16 U1 U2 U3 U4 U5 A7 A8 A9 A15 K4 R11 R12.
+Operators: K4 J1 A7 A8 A15 W1 W2 W3 W4 W5 W11 W13 T1 T13 T14 T16 U1 U2 U3.
 """
 
 from __future__ import annotations
@@ -86,8 +86,8 @@ def top_k(df: DataFrame, key: list[str], score: str, ties: list[str], k: int, th
 def with_share(df: DataFrame, keys: list[str]) -> DataFrame:
     """Counts of each key and their percentage of all rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.join(total).withColumn("share", F.round(100.0 * F.col("n") / F.col("total"), 6)).drop("total")
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.withColumn("share", F.round(100.0 * F.col("n") / total, 6))
 
 
 def margin_lines(pages: DataFrame, paper: str, page: str, text: str, least: int = 3) -> DataFrame:

@@ -1,6 +1,6 @@
 """Passage retrieval: centroids, scores and a diverse, budgeted choice.
 
-Operators: A12 R8 R10 T1 T8 W6 W13.  Scores are native columns; only the greedy choice, in which each step
+Operators: A12 W6 W13 T3 T8 R10.  Scores are native columns; only the greedy choice, in which each step
 depends on the ones before, runs per paper in pandas, over ``POOL`` passages of it at a time.
 """
 

@@ -1,6 +1,6 @@
 """Human review: columns matched to variables, gold values, quote-aware agreement, packets for reviewers.
 
-Operators: J12 J13 J17 J18 J21 J22 M6 M7 M12 W9 F21 F22 T15 T17 H5 H6 H23 H24 H25 H27 H28 H30 H31 H33 H36 H65 H92 H96 S21.
+Operators: S21 F21 F22 J12 J13 J17 J18 J21 J22 W9 T15 T17 M6 M7 M12 H5 H6 H23 H24 H25 H27 H28 H30 H31 H33 H36 H65 H92 H96.
 """
 
 from __future__ import annotations

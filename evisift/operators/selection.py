@@ -1,6 +1,6 @@
 """Selection of a paper's passages: priority, adaptive cap, rescue, quotas, counter-evidence, diversity and budget.
 
-Operators: T2 T3 T4 T5 T6 T7 T8 T9 J19 W13.
+Operators: J19 W13 T2 T3 T4 T5 T6 T7 T8 T9.
 
 What a passage is worth is worked out natively, one column each, and its paper's passages are put in order by an array
 sort.  Only the choice itself, in which each step depends on those before, runs in Python: once per paper, over the

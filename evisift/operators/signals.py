@@ -1,6 +1,6 @@
 """Terms, gates and caps that turn scored passages into examples.
 
-Operators: F23 F24 H40 R18 R25 U5 W11 W12.
+Operators: F10 F23 F24 W11 W12 U5 R18 R25 H40.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Validation of decisions and of extracted cells: typed agreement, human labels, borderline answers, plausibility.
 
-Operators: S19 M1 M2 M9 F15 F16 F18 F25 F26 J7 J9 J11 J15 M15 A19 A26 A28 K2 K3 P37 P39 P47 P50 W14 H17 H22 H64.
+Operators: S19 K2 K3 K16 P37 P39 P47 P50 F11 F14 F15 F16 F17 F18 F25 F26 J7 J9 J11 J15 A5 A19 A26 A28 W14 M1 M2 M9 M15 H17 H22 H30 H64.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
+from .bookkeeping import cell_score
 from .evidence import labelled_counts
 from .review import ABSENT, alias_match, changed, quote_cell_match
 
@@ -153,7 +154,7 @@ def validated_cells(human: DataFrame, ai: DataFrame, variables: list[tuple[str,
     rows = rows.withColumn("ai", F.col("answers")[F.col("variable")]["value"]).withColumn("quote", F.col("answers")[F.col("variable")]["quote"]).drop("answers")
     strict = F.coalesce(*[F.when(F.col("kind") == k, strict_match(F.col("human"), F.col("ai"), k)) for k in sorted({k for _, k in variables})], F.lit(False))
     aware = quote_cell_match(F.col("human"), F.col("ai"), F.col("quote"), F.col("note"))["matched"]
-    scored = F.when(F.trim("score") == "1", True).when(F.trim("score") == "0", False)
+    scored = cell_score(F.col("score"))
     none = lambda c, k: F.when(k == "list", F.size(list_items(c)) == 0).otherwise(c.isNull() | F.lower(F.trim(c)).isin(ABSENT))
     return rows.select(
         "paper_id", "variable", (~none(F.col("human"), F.col("kind"))).alias("human_present"), none(F.col("ai"), F.col("kind")).alias("ai_missing"), strict.alias("strict_match"), aware.alias("quote_aware_match"),
@@ -236,8 +237,7 @@ def chunk_records(chunks: DataFrame, order: str) -> DataFrame:
 def split_summary(records: DataFrame, split: str, seconds: str) -> DataFrame:
     """K3: count, share of all and the longest response of each split."""
     counts = records.groupBy(split).agg(F.count(F.lit(1)).alias("n"), F.max(seconds).alias("most_seconds"))
-    total = counts.agg(F.sum("n").alias("total"))  # one row
-    return counts.join(F.broadcast(total)).withColumn("percent", F.round(100.0 * F.col("n") / F.col("total"), 6)).drop("total")
+    return counts.withColumn("percent", F.round(100.0 * F.col("n") / counts.agg(F.sum("n").alias("total")).scalar(), 6))
 
 
 def payload_cell(leaf: Column, default: str | None = None) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators import bootstrap, contexts, evidence, extraction, linkage, operations, relational, review, selection, signals, validation
+from ..operators import bookkeeping, bootstrap, contexts, evidence, extraction, linkage, operations, relational, review, selection, signals, validation
 from . import registry
 from .registry import _CONTENT, _SCORED, _TOKENS, _chain, _lines, _sum_sql
 
@@ -847,3 +847,113 @@ def composite_linkage(part):
     t = part.select(F.col("p_partkey").cast("string").alias("target_id"), F.regexp_replace(F.lower("p_brand"), "[^a-z0-9]", "").alias("author"), (F.col("p_size") + 1950).cast("string").alias("year"), F.col("p_name").alias("title"))
     o = part.where("p_partkey % 3 = 0").select(F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("other_id"), F.concat_ws(" ", F.regexp_replace(F.lower("p_brand"), "#", " "), (F.col("p_size") + 1950).cast("string"), "p_name").alias("name"), (F.col("p_size") + 1950).cast("string").alias("year"))
     return linkage.decide(bootstrap.link_scores(t, o))
+
+
+# --- ids, scores and records
+
+_RAW = ["One–two; “THREE” (4)", "snake_case/x", None, "Café: 50% +1", "a|b,c"]
+
+
+@query(f"SELECT s_suppkey, {_pick('s_suppkey', ['one-two three 4', 'snake case x', '', 'cafe 50% +1', 'a b c'])} AS plain, {_pick('s_suppkey', ['a|B', 'x', ''])} AS choices, {_pick('s_suppkey', ['a;b|C', 'one', '', 'q'])} AS marks FROM supplier")
+def split_and_plain_texts(supplier):
+    """P25, P40."""
+    choices, marks = _nth("s_suppkey", ["a; B |b, A", " x ", None]), _nth("s_suppkey", ["a;b\r\n C || c\n\n", "one", None, "q||Q"])
+    return supplier.select("s_suppkey", bookkeeping.validation_text(_nth("s_suppkey", _RAW)).alias("plain"), F.array_join(bookkeeping.options(choices), "|").alias("choices"), F.array_join(bookkeeping.anchors(marks), "|").alias("marks"))
+
+
+@query(f"SELECT s_suppkey, ({_pick('s_suppkey', ['t', 'f', None, None, 't', 'f', None])})::BOOLEAN AS score, s_suppkey % 7 IN (0, 4) AS relaxed, {_pick('s_suppkey', ['enum', 'list', None, 'float', 'string'])} AS kind, s_suppkey::VARCHAR AS id FROM supplier")
+def scores_and_types(supplier):
+    """M8, H46, H77."""
+    said = _nth("s_suppkey", ["Yes", "stimmt nicht", "", None, " 1 ", "no", "perhaps"])
+    kind = bookkeeping.type_name(_nth("s_suppkey", ["Categorical", "list-str", "date", " Number", "TEXT"]))
+    return supplier.select("s_suppkey", bookkeeping.cell_score(said).alias("score"), bookkeeping.relaxed_bool(said).alias("relaxed"), kind.alias("kind"), bookkeeping.bare_id(F.concat(F.lit(" ##"), F.col("s_suppkey").cast("string"))).alias("id"))
+
+
+@query("SELECT o_orderkey, 'some' AS scope FROM orders WHERE o_custkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) UNION ALL SELECT c_custkey, 'all' FROM customer")
+def sample_scope(orders, supplier, customer):
+    """Orders of a sheet's ids; all customers, as none is in theirs."""
+    even = bookkeeping.sheet_ids(supplier.where("s_suppkey % 2 = 0").select(F.concat(F.lit("#"), F.col("s_suppkey").cast("string"), F.lit(".0")).alias("ID")), ["Covidence #", "ID"])
+    some = bookkeeping.scoped(orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("paper_id")), even).select("o_orderkey", F.lit("some").alias("scope"))
+    none = bookkeeping.scoped(customer.select(F.col("c_custkey").alias("o_orderkey"), F.col("c_name").alias("paper_id")), even)
+    return some.unionByName(none.select("o_orderkey", F.lit("all").alias("scope")))
+
+
+@query("""
+WITH b AS (SELECT DISTINCT o_custkey::VARCHAR AS paper_id FROM orders WHERE o_orderstatus = 'F'), m AS (SELECT DISTINCT o_custkey::VARCHAR AS paper_id FROM orders WHERE o_orderstatus = 'O'), a AS (SELECT paper_id FROM b UNION SELECT paper_id FROM m)
+SELECT paper_id, NULL::BIGINT AS paper_count, NULL::DOUBLE AS percent_of_stage FROM a UNION ALL SELECT 'summary', count(*), round(count(*) * 100.0 / 3000, 6) FROM a""")
+def appended_records(orders):
+    """Records appended where their id is new, and the refreshed summary."""
+    ids = lambda s: orders.where(F.col("o_orderstatus") == s).select(F.col("o_custkey").cast("string").alias("paper_id"))
+    rows = bookkeeping.appended(ids("F"), ids("O"))
+    summary = bookkeeping.append_summary(rows, 3000).select(F.lit("summary").alias("paper_id"), "paper_count", "percent_of_stage")
+    return rows.select("paper_id", F.lit(None).cast("long").alias("paper_count"), F.lit(None).cast("double").alias("percent_of_stage")).unionByName(summary)
+
+
+@query("SELECT c_custkey AS paper_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def ids_without_result(customer, orders):
+    """J8, H11."""
+    done = bookkeeping.result_ids(orders.select(F.col("o_custkey").alias("paper_id"), F.when(F.col("o_orderstatus") == "F", "{}").otherwise(" ").alias("payload")), "payload")
+    return bookkeeping.missing_ids(customer.select(F.col("c_custkey").alias("paper_id")), done)
+
+
+@query("SELECT max_by(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'P') AS total, count(*) FILTER (o_orderstatus <> 'O') AS n FROM orders")
+def log_totals(orders):
+    """H14, H21."""
+    log = orders.select(F.when(F.col("o_orderstatus") == "P", "TOTAL").when(F.col("o_orderstatus") == "F", "x").otherwise(" ").alias("paper_id"), "o_orderkey", "o_totalprice")
+    return bookkeeping.last_total(log, "o_orderkey").select(F.col("o_totalprice").alias("total"), bookkeeping.sample_size(log).scalar().alias("n"))
+
+
+@query("SELECT o_custkey AS paper_id, o_orderstatus AS variable, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL")
+def audit_index(orders):
+    """H29, H32."""
+    return bookkeeping.keyed(orders.select(F.col("o_custkey").alias("paper_id"), F.col("o_orderstatus").alias("variable"), "o_orderkey", F.col("o_orderkey").alias("at")), ["paper_id", "variable"], "at").drop("at")
+
+
+@query("SELECT p_partkey::VARCHAR AS target_id, 'smith' AS author, (1950 + p_size)::VARCHAR AS year, lower(p_name) AS title FROM part")
+def link_targets(part):
+    """H35."""
+    rows = part.select(F.col("p_partkey").cast("string").alias("paper_id"), F.lit("Smith, J.; Doe").alias("authors"), F.concat(F.lit("May "), (F.col("p_size") + 1950).cast("string")).alias("year"), F.concat(F.regexp_replace(F.upper("p_name"), " ", " - "), F.lit("!")).alias("title"))
+    return bookkeeping.link_features(rows)
+
+
+@query("SELECT o_custkey AS paper_id, max(o_totalprice) FILTER (o_orderstatus = 'F') AS F, max(o_totalprice) FILTER (o_orderstatus = 'O') AS O FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey")
+def gold_frame(orders):
+    """H8."""
+    cells = orders.groupBy(F.col("o_custkey").alias("paper_id"), F.col("o_orderstatus").alias("variable")).agg(F.max("o_totalprice").alias("value"))
+    return bookkeeping.gold_frame(cells.withColumn("evaluable", F.col("variable") != "P"), ["F", "O"])
+
+
+@query("SELECT c_custkey, c_custkey AS prompt_tokens, CASE WHEN c_custkey % 2 = 0 THEN 7 ELSE 0 END AS response_tokens, 0 AS embedding_tokens, 3 AS pdf_text_tokens, 0 AS pdf_visual_tokens, c_custkey + 3 + CASE WHEN c_custkey % 2 = 0 THEN 7 ELSE 0 END AS tokens_total FROM customer")
+def resource_rows(customer):
+    """H94."""
+    return customer.select("c_custkey", *bookkeeping.resource_row({"prompt_tokens": F.col("c_custkey"), "response_tokens": F.when(F.col("c_custkey") % 2 == 0, 7), "pdf_text_tokens": F.lit("3")}))
+
+
+@query("SELECT p_partkey, '{\"name\":\"' || p_name || '\",\"size\":\"' || CASE WHEN p_size % 2 = 0 THEN p_size::VARCHAR ELSE '' END || '\"}' AS record FROM part")
+def result_records(part):
+    """K5, H86."""
+    cells = F.create_map(F.lit("size"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")), F.lit("name"), F.col("p_name"))
+    return part.select("p_partkey", bookkeeping.result_record(cells).alias("record"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'old' END AS state FROM customer")
+def sidecars(customer):
+    """K14."""
+    one = lambda s: customer.select("c_custkey", F.lit(s).alias("state"))
+    return bookkeeping.merged_sidecars(one("old"), one("new").where("c_custkey % 4 = 0"), ["c_custkey"])
+
+
+@query("""
+WITH c AS (SELECT count(*) FILTER (quality = 1 AND toxic = 1) AS tp, count(*) FILTER (quality = 0 AND toxic = 0) AS tn, count(*) FILTER (quality = 0 AND toxic = 1) AS fp, count(*) FILTER (quality = 1 AND toxic = 0) AS fn FROM labels)
+SELECT 0 AS line_no, 'n: ' || (tp + tn + fp + fn) AS line FROM c UNION ALL SELECT 1, 'observed_agreement: ' || printf('%.4f', (tp + tn) / (tp + tn + fp + fn)) FROM c UNION ALL SELECT 2, 'sensitivity: ' || printf('%.4f', tp / (tp + fn)) FROM c UNION ALL SELECT 3, 'specificity: ' || printf('%.4f', tn / (tn + fp)) FROM c""")
+def alignment_report(labels):
+    """K9 but for its picture."""
+    from ..functions import stats
+
+    return bookkeeping.alignment_report(labels.agg(*stats.confusion(F.col("quality"), F.col("toxic"))))
+
+
+@query("SELECT c_custkey, 'seen by and others' AS answer FROM customer")
+def sanitised_answers(customer):
+    """H49, P12."""
+    return customer.select("c_custkey", bookkeeping.sanitised(F.concat(F.lit("seen by "), F.col("c_name"), F.lit(" and others")), F.concat(F.lower("c_name"), F.lit("; Doe"))).alias("answer"))

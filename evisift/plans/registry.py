@@ -306,10 +306,12 @@ SELECT doc_id, item_id, len(list_intersect(bt, dt)) AS common, round(CASE WHEN l
   round(CASE WHEN len(bt) + len(dt) > 0 THEN len(list_intersect(bt, dt)) / (len(bt) + len(dt) - len(list_intersect(bt, dt))) ELSE 0 END, 6) AS jaccard FROM d JOIN b USING (item_id)""")
 def cell_match(documents, benchmark):
     """Each document beside one benchmark item."""
-    n = benchmark.count()
-    d = documents.select("doc_id", F.pmod("doc_id", F.lit(n)).alias("item_id"), values.content_tokens(F.col("text")).alias("dt"))
+    n = benchmark.agg(F.count(F.lit(1)).alias("n")).scalar()
+    d = documents.select("doc_id", F.pmod("doc_id", n).alias("item_id"), values.content_tokens(F.col("text")).alias("dt"))
     j = d.join(benchmark.select("item_id", values.content_tokens(F.col("text")).alias("bt")), "item_id")
-    return j.select("doc_id", "item_id", F.size(F.array_intersect("bt", "dt")).cast("long").alias("common"), _r(values.overlap(F.col("bt"), F.col("dt"))).alias("overlap"), _r(values.jaccard(F.col("bt"), F.col("dt"))).alias("jaccard"))
+    j = j.select("doc_id", "item_id", F.size("bt").alias("b"), F.size("dt").alias("d"), F.size(F.array_intersect("bt", "dt")).alias("i"))
+    overlap, jaccard = values.shares(F.col("b"), F.col("d"), F.col("i"))
+    return j.select("doc_id", "item_id", F.col("i").cast("long").alias("common"), _r(overlap).alias("overlap"), _r(jaccard).alias("jaccard"))
 
 
 @query("""

@@ -1,6 +1,6 @@
 """Artefacts of runs found by name and age, page texts, caches by content, review sheets and prompt templates.
 
-Operators: A24 S12 S13 S14 S16 S17 S18 S20 M18 H3 H4 H43 H45 H56 H57 H58 H69 H74 H85 H87 H89 H99.
+Operators: S12 S13 S14 S16 S17 S18 S20 A24 M18 H3 H4 H43 H45 H56 H57 H58 H69 H74 H85 H87 H89 H99.
 """
 
 from __future__ import annotations

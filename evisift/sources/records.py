@@ -1,6 +1,6 @@
 """Sources and sinks of citation exports, labelled examples, JSON lines and run artefacts.
 
-Operators: S1 S2 S3 S4 S5 S6 S7 S8 S10 S11 S19 P1 P2 P3 P4 P6 H1 H2 H10 H47 H73 H75 K1 K3 K5 K7 K8 K10 K15.
+Operators: S1 S2 S4 S5 S6 S7 S8 S10 S11 K1 K7 K8 K10 K15 P1 P2 P3 P4 P6 H2.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Streams: keyed replacement per micro-batch, and event-time windows (an extension).  Operators: X1 X3 X4 X5 K6."""
+"""Streams: keyed replacement per micro-batch, and event-time windows (an extension).  Operators: K6 X4 X5."""
 
 from __future__ import annotations
 
