@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text, values
 from ..operators import bookkeeping, bootstrap, contexts, evidence, extraction, linkage, operations, relational, review, selection, signals, validation
+from ..sources import records
+from ..sources.scratch import Scratch
+from ..streaming import incremental
 from . import registry
 from .registry import _CONTENT, _SCORED, _TOKENS, _chain, _lines, _sum_sql
 
@@ -957,3 +960,86 @@ def alignment_report(labels):
 def sanitised_answers(customer):
     """H49, P12."""
     return customer.select("c_custkey", bookkeeping.sanitised(F.concat(F.lit("seen by "), F.col("c_name"), F.lit(" and others")), F.concat(F.lower("c_name"), F.lit("; Doe"))).alias("answer"))
+
+
+# --- files written and read again, in a folder of the query's own
+
+
+def _folder(df: DataFrame, name: str) -> str:
+    return Scratch(df.sparkSession, name).path
+
+
+@query("""
+SELECT c_custkey::VARCHAR AS paper_id, c_name AS title, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment || ', "so"' || chr(10) || 'on' END AS abstract, (1990 + c_custkey % 30)::VARCHAR AS year, c_custkey % 3 = 0 AS citation_ingestion_missing_abstract, true AS citation_ingestion_missing_doi FROM customer WHERE c_custkey % 10 <> 0""")
+def citation_export(customer):
+    """An export under its own headers, written and read as canonical records."""
+    blank = F.col("c_custkey") % 10 == 0
+    rows = customer.select(
+        F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).alias("Covidence #"), F.col("c_custkey").cast("string").alias("Ref"), F.when(blank, "").otherwise(F.col("c_name")).alias("TITLE "),
+        F.when(blank, "").when(F.col("c_custkey") % 3 == 0, " N/A").otherwise(F.concat("c_mktsegment", F.lit(', "so"\non'))).alias("Abstract"), F.concat(F.lit("May "), (F.col("c_custkey") % 30 + 1990).cast("string")).alias("Published Year"), F.lit("none").alias("DOI"),
+    )
+    path = _folder(customer, "citations")
+    records.write_text_csv(rows, path)
+    out = records.canonical(records.read_text_csv(customer.sparkSession, path))
+    return out.select("paper_id", "title", "abstract", "year", "citation_ingestion_missing_abstract", "citation_ingestion_missing_doi")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 4 <> 1")
+def json_records(events):
+    """Logs appended to, with meta rows, corrupt and blank lines between them."""
+    path = _folder(events, "log")
+    rows = events.select("event_id", "event_type")
+    records.append_log(rows.where("event_id % 4 = 0"), path)
+    records.append_log(rows.where("event_id % 4 > 1").withColumn("meta", F.lit(None).cast("string")), path)
+    records.append_log(rows.where("event_id % 4 = 1").withColumn("meta", F.lit("summary")), path)
+    rows.where("event_id % 50 = 0").select(F.when(F.col("event_id") % 100 == 0, '{"event_id": ').otherwise(" ").alias("value")).write.mode("append").text(path)
+    return records.read_json_lines(events.sparkSession, path, "event_id long, event_type string")
+
+
+@query("SELECT doc_id, CASE WHEN toxic = 1 THEN 'undecided' WHEN quality = 1 THEN 'include' ELSE 'exclude' END AS decision FROM labels")
+def records_by_decision(labels):
+    """K1: records in a folder of each decision."""
+    path = _folder(labels, "decisions")
+    records.write_by_decision(labels.select("doc_id", F.when(F.col("toxic") == 0, F.col("quality") == 1).alias("is_eligible")), path)
+    return labels.sparkSession.read.schema("doc_id long, decision string").json(path)
+
+
+@query("""
+WITH e AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'POS' ELSE 'NEG' END AS label, p_name || ' ' || p_partkey AS text FROM part WHERE p_size % 5 < 3), x AS (SELECT DISTINCT CASE WHEN p_size % 4 = 0 THEN p_type ELSE p_name || ' ' || p_partkey END AS text FROM part WHERE p_size % 4 < 2)
+SELECT label, text FROM e UNION ALL SELECT 'NEG', text FROM x WHERE lower(text) NOT IN (SELECT lower(text) FROM e)""")
+def labelled_examples(part):
+    """Examples under other headers, bad labels and blank texts left out, with negatives harvested from records."""
+    said = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    k = F.col("p_size") % 5
+    sheet = part.select(F.when(k == 3, "maybe").when(F.col("p_size") % 2 == 0, "pos").otherwise(" Neg").alias("Class"), F.when(k < 4, said).alias("Sentence"))
+    path = _folder(part, "examples")
+    records.write_text_csv(sheet, path)
+    own = records.labelled_examples(records.read_text_csv(part.sparkSession, path))
+    excluded = part.where("p_size % 4 < 2").select(F.when(F.col("p_size") % 4 == 0, F.col("p_type")).otherwise("").alias("abstract"), said.alias("title"))
+    return records.with_harvested(own, excluded)
+
+
+@query("SELECT n_nationkey::VARCHAR AS id FROM nation WHERE n_nationkey % 2 = 1")
+def newest_export(nation):
+    """Of two exports the rows of the one written last."""
+    path = _folder(nation, "exports")
+    for k in (0, 1):
+        records.write_text_csv(nation.where(F.col("n_nationkey") % 2 == k).select(F.col("n_nationkey").alias("id")).coalesce(1), f"{path}/{k}")
+    return records.newest(records.read_text_csv(nation.sparkSession, [f"{path}/0", f"{path}/1"])).select("id")
+
+
+@query("SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type, max(event_id) FILTER (true) IS NOT NULL AS there FROM events GROUP BY user_id")
+def replaced_by_batch(events):
+    """Three batches of events, each replacing its users' rows; batches are handed over as a stream would."""
+    target = _folder(events, "upserts")
+    write = incremental.upsert_sink(target, ["user_id"], ["ts", "event_id"], 8)
+    day = F.pmod(F.xxhash64(F.lit(0), "user_id"), F.lit(3))
+    rows = events.select("user_id", "event_type", "ts", "event_id")
+    write(rows.where("event_id % 2 = 0"), 0)
+    latest = relational.latest(rows, ["user_id"], [F.col("ts"), F.col("event_id")])
+    write(latest.where(day == 1).select(*rows.columns), 1)
+    write(latest.where(day != 1).select(*rows.columns), 2)
+    write(latest.where(day != 1).select(*rows.columns), 2)  # tried again
+    left = incremental.pending(rows.select("user_id").distinct(), incremental.current(events.sparkSession, target), "user_id")
+    out = incremental.current(events.sparkSession, target).select("user_id", "event_type", F.lit(True).alias("there"))
+    return out.unionByName(left.select("user_id", F.lit("missing").alias("event_type"), F.lit(False).alias("there")))

@@ -95,4 +95,4 @@ def append_log(rows: DataFrame, path: str) -> None:
 def write_text_csv(rows: DataFrame, path: str) -> None:
     """Strings, booleans in lower case, one header."""
     flat = rows.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in rows.columns])
-    flat.write.mode("overwrite").option("header", True).csv(path)
+    flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -238,7 +238,22 @@ def test_stream_upsert(spark, tmp_path):
         q = incremental.read_files(spark, str(tmp_path / "in"), "k string, v int, t int").writeStream.foreachBatch(incremental.upsert_sink(str(tmp_path / "out"), ["k"], ["t", "v"])).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
         q.awaitTermination()
         assert k is not None
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out/v1")).select("k", "v").collect()) == [("a", 1), ("b", 2), ("c", 1)]
+    assert sorted(tuple(r) for r in incremental.current(spark, str(tmp_path / "out")).select("k", "v").collect()) == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_upsert_versions(spark, tmp_path):
+    target = str(tmp_path / "t")
+    write = incremental.upsert_sink(target, ["k"], ["t"], 4)
+    batch = lambda rows: spark.createDataFrame(rows, "k string, v int, t int")
+    now = lambda: sorted(tuple(r) for r in incremental.current(spark, target).select("k", "v").collect())
+    assert incremental.current(spark, target, "k string, v int, t int").count() == 0
+    write(batch([(f"k{i}", 0, 0) for i in range(40)]), 0)
+    for n in (1, 2, 3):
+        write(batch([("k1", n, n), ("k2", n, n)]), n)
+        write(batch([("k1", n, n), ("k2", n, n)]), n)
+        assert now() == sorted((f"k{i}", n if i in (1, 2) else 0) for i in range(40))
+    versions = sorted(str(p.relative_to(target)) for p in (tmp_path / "t").glob("upsert_version=*/upsert_bucket=*"))
+    assert len([v for v in versions if v.startswith("upsert_version=0")]) <= 4 and not any(v.startswith("upsert_version=1") for v in versions)
 
 
 def test_stream_windows_equal_batch(spark, tmp_path):
