@@ -755,6 +755,27 @@ def test_brief_items_that_many_documents_hold(spark, n):
     assert got == {d: [1] if d < 90 and d % 3 == 0 else [] for d in range(92)}
 
 
+def test_leaks_over_whole_tables(spark):
+    """Every verbatim item is found, and nothing is flagged that does not hold half of an item's words in order."""
+    sf = "/root/testdata/sf0.01"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    own = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+    items = {r.item_id: own(r.text) for r in bench.collect()}
+    got = {r.doc_id: set(r["items"]) for r in decontamination.op7_decontamination(docs, bench).collect()}
+    found = 0
+    for r in docs.collect():
+        text = own(r.text)
+        spaced = " " + " ".join(text) + " "
+        for i, words_of in items.items():
+            whole = " " + " ".join(words_of) + " " in spaced
+            found += whole
+            assert not whole or i in got[r.doc_id]
+            if i in got[r.doc_id]:
+                common = decontamination.common_subsequence(decontamination._masks(words_of), len(words_of), text)
+                assert common >= decontamination.PARAPHRASED * len(words_of)
+    assert found >= 10 and len(got) == docs.count()
+
+
 def test_leaks_in_several_groups(spark, monkeypatch):
     """A benchmark that does not fit at once is searched group by group, with the same result."""
     rng = random.Random(8)

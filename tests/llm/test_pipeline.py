@@ -4,6 +4,8 @@ import re
 
 import sentencepiece
 
+from test_operators import brute_classes
+
 import corpus_pipeline
 from evisift.llm import sentencepieces
 
@@ -23,6 +25,9 @@ def test_stages_and_decisions(spark):
     assert counts == sorted(counts, reverse=True) and counts[-1] >= 0.6 * docs.count()
     texts = [tuple(r.text.split()) for r in rows["ngram_jaccard_join"].values()]
     assert len(texts) == len(set(texts))
+    kept = rows["ngram_jaccard_join"]
+    classes = brute_classes([(d, r.text) for d, r in rows["toxicity"].items()])
+    assert set(kept) == {d for d, (first, _) in classes.items() if d == first} and len(kept) < len(rows["toxicity"])
     items = [" ".join(r.text.lower().split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert not any(i in " ".join(r.text.lower().split()) for r in rows["benchmark_decontamination"].values() for i in items)
     for d, r in rows["secret_scans"].items():
