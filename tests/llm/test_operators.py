@@ -286,6 +286,44 @@ def test_toxicity_held_out(spark, docs, odd, empty):
     assert {round(r.score, 6) for r in toxicity.op4_toxicity(odd, some.limit(0)).collect()} == {0.25}
 
 
+def plain_buckets(text):
+    """Order and bucket of each distinct character n-gram, one at a time."""
+    t, mask = re.sub(r"\s+", " ", (text or "").lower()), (1 << 64) - 1
+    out = set()
+    for n in toxicity.ORDERS:
+        for k in range(len(t) - n + 1):
+            h = sum((ord(c) + 1) * pow(toxicity._BASE, j, 1 << 64) for j, c in enumerate(t[k : k + n])) & mask
+            out.add((n, (h * toxicity._FACTORS[n] & mask) >> (64 - toxicity.BITS)))
+    return out
+
+
+def test_toxicity_equals_plain_counts_and_scores(spark):
+    """Counts, ratios, choice of buckets and scores of every text, worked out one n-gram at a time."""
+    rng = random.Random(4)
+    bad, good = ["vile", "nasty", "awful!"], ["kind", "calm", "bright"]
+    texts = [" ".join(rng.choice((bad if k % 3 == 0 else good) + ["the", "x"]) for _ in range(rng.randrange(0, 25))) for k in range(240)] + [None, "", "ÄÖ  ü\n\t x"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k in range(240)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(toxicity.training_rows(docs, labels), Scratch(spark, "t"))
+    learned = [k for k in range(240) if zlib.crc32(str(k).encode()) % 5]
+    counts, rows = [Counter(), Counter()], Counter(int(k % 3 == 0) for k in learned)
+    for k in learned:
+        counts[k % 3 == 0].update(b for _, b in plain_buckets(texts[k]))
+    want = {}
+    for b in counts[0].keys() | counts[1].keys():
+        neg, pos = counts[0][b], counts[1][b]
+        ratio = np.log((pos + 1) / (rows[1] + 2)) - np.log((neg + 1) / (rows[0] + 2))
+        if abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1)) >= toxicity.LEAST_Z and abs(ratio) >= toxicity.LEAST_RATIO:
+            want[b] = ratio
+    assert len(want) > 20 and dict(zip(model.buckets.tolist(), model.ratios.tolist(), strict=True)) == pytest.approx(want)
+    worth = dict(zip(model.buckets.tolist(), (model.weights * model.ratios).tolist(), strict=True))
+    for r in toxicity.op4_toxicity(docs, labels).collect():
+        total = model.intercept + sum(worth.get(b, 0.0) for b in {b for _, b in plain_buckets(texts[r.doc_id])})
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9) and r.predicted == (r.score >= 0.5)
+        if r.doc_id < 240 and r.held_out and len(texts[r.doc_id].split()) > 8:
+            assert r.predicted == (r.doc_id % 3 == 0)
+
+
 def test_toxicity_buckets():
     texts = ["abcd", "", "ab", "abcabc"]
     for n, (cut, bucket) in zip(toxicity.ORDERS, toxicity.buckets(texts), strict=True):
