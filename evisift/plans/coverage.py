@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text, values
+from ..functions import text, udfs, values
 from ..operators import bookkeeping, bootstrap, contexts, evidence, extraction, linkage, operations, relational, review, selection, signals, validation
-from ..sources import records
+from ..sources import artefacts, records
 from ..sources.scratch import Scratch
 from ..streaming import incremental
 from . import registry
@@ -1043,3 +1043,66 @@ def replaced_by_batch(events):
     left = incremental.pending(rows.select("user_id").distinct(), incremental.current(events.sparkSession, target), "user_id")
     out = incremental.current(events.sparkSession, target).select("user_id", "event_type", F.lit(True).alias("there"))
     return out.unionByName(left.select("user_id", F.lit("missing").alias("event_type"), F.lit(False).alias("there")))
+
+
+# --- the few Arrow functions, and small rules over artefacts
+
+
+@query("SELECT event_id, props AS object FROM events WHERE props IS NOT NULL")
+def json_objects(events):
+    """The first balanced object among words, open braces and quotes."""
+    said = F.concat(F.lit('so {"x": " it } says: '), F.lit('" \\n'), "props", F.lit(" and {more"))
+    return events.where("props is not null").select("event_id", udfs.first_json_object(said).alias("object"))
+
+
+@query("SELECT o_custkey, o_orderkey, place FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders) WHERE place <= 3")
+def top_suggestions(orders):
+    """The three best of each target."""
+    out = relational.top_k(orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "o_totalprice", ["o_orderkey"], 3)
+    return out.select("o_custkey", "o_orderkey", F.col("retrieval_rank").cast("long").alias("place"))
+
+
+@query("SELECT doc_id, CASE WHEN length(trim(text)) = 0 THEN true ELSE coalesce(length(trim(substr(text, 1, (n_chars * 0.79)::BIGINT))) / length(trim(text)) >= 0.8, true) END AS enough FROM documents")
+def length_guards(documents):
+    """A stored text of four fifths of its length, or not quite."""
+    stored = F.substring("text", F.lit(1), F.round(F.col("n_chars") * 0.79).cast("int"))
+    return documents.select("doc_id", artefacts.length_guard(stored, F.col("text")).alias("enough"))
+
+
+@query("SELECT c_custkey, list_contains([0, 2], i) AS title, CASE i WHEN 0 THEN 'On it by' WHEN 1 THEN 'It works.' WHEN 2 THEN 'x' END AS text FROM customer, (SELECT unnest([0, 1]) AS i) WHERE i < 2")
+def prepared_records(customer):
+    """Sentences of a title and an abstract without their authors."""
+    chunks = contexts.prepared_chunks(F.col("c_custkey"), F.concat(F.lit("On it by "), "c_name"), F.lit(" It works. "), F.col("c_name"))
+    return customer.select("c_custkey", F.explode(chunks).alias("c")).select("c_custkey", (F.col("c.kind") == "title").alias("title"), F.col("c.text").alias("text"))
+
+
+@query("SELECT c_custkey::VARCHAR AS id, c_name || ';x' AS name, c_mktsegment AS segment FROM customer")
+def review_sheet(customer):
+    """A sheet parted by semicolons, a column copied from the alias that it came under."""
+    path = _folder(customer, "sheet")
+    rows = customer.select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(";x")).alias("Full name"), F.col("c_mktsegment").alias("segment"))
+    rows.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    out = artefacts.with_alias_columns(artefacts.read_sheet(customer.sparkSession, path), {"name": ["title", "Full name"], "segment": ["id"]})
+    return out.select("id", "name", "segment")
+
+
+@query("SELECT 'stamp' AS asked, max_by(o_orderkey::VARCHAR, (o_orderdate, o_orderkey::VARCHAR)) FILTER (o_orderstatus = 'P') AS name FROM orders UNION ALL SELECT 'none', max_by(o_orderkey::VARCHAR, (o_orderdate, o_orderkey::VARCHAR)) FROM orders UNION ALL SELECT 'unknown', max_by(o_orderkey::VARCHAR, (o_orderdate, o_orderkey::VARCHAR)) FROM orders")
+def stamped_files(orders):
+    """The newest file of a stamp, or of all without one or with one that no file has."""
+    files = orders.select(F.col("o_orderkey").cast("string").alias("name"), F.col("o_orderdate").alias("modified"), F.col("o_orderstatus").alias("stamp"))
+    one = lambda asked, stamp: artefacts.newest_by_stamp(files, stamp).select(F.lit(asked).alias("asked"), "name")
+    return one("stamp", "P").unionByName(one("none", None)).unionByName(one("unknown", "zz"))
+
+
+@query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0")
+def folder_metadata(orders, customer):
+    """Metadata joined on ids in other spellings."""
+    rows = orders.select("o_orderkey", F.concat(F.lit(" #"), F.col("o_custkey").cast("string")).alias("id"))
+    known = customer.where("c_custkey % 2 = 0").select(F.concat(F.col("c_custkey").cast("string"), F.lit(".0")).alias("id"), "c_name")
+    return artefacts.with_metadata(rows, known, "id").select("o_orderkey", "c_name")
+
+
+@query("SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 100000)")
+def artefacts_to_copy(orders):
+    """What is not there yet."""
+    return artefacts.absent_only(orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderkey"), orders.where("o_totalprice > 100000"), ["o_orderkey"])

@@ -581,7 +581,7 @@ def stale_runs(customer):
 
 @query("SELECT min(sha256(role)) AS sha256, substr(min(sha256(role)), 1, 12) AS campaign_id, role AS content FROM conversations WHERE role <> 'user' GROUP BY role")
 def prompt_snapshots(conversations):
-    """Contents that are not stored yet."""
+    """Contents that are not stored yet."""
     known = conversations.where("role = 'user'").select(F.sha2("role", 256).alias("sha256")).distinct()
     return operations.content_store(known, conversations.select(F.col("role").alias("content"))).select("sha256", "campaign_id", "content")
 
@@ -627,7 +627,7 @@ def publication_prefilter(documents):
 
 @query("SELECT page_id, md5(array_to_string(list_filter(string_split(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_'), lambda x: x <> ''), '_')) AS key_md5 FROM pages")
 def snake_keys(pages):
-    """P14."""
+    """P14, P49."""
     return pages.select("page_id", F.md5(text.snake(F.col("url"))).alias("key_md5"))
 
 
