@@ -30,3 +30,10 @@ def documents(texts):
 
 def test_readability_of_accented_letters(spark, tmp_path):
     same(spark, tmp_path, "readability_metrics", documents=documents(ACCENTED))
+
+
+def test_quality_of_accented_letters(spark, tmp_path):
+    filler = "one two three four six ten red blue cold old new hot ring rod gear bolt saw cut dye ink jar key log map nut oak pin"
+    words = ["éresults", "réfindings", "méthodeédoi", "issné", "bibliographyé", "résumé methodsé", "Smithé et al 2001 ÉSmith et al 2001 " * 7, "é1999 [1] " * 12, "largerñ smallest² " * 14, "smallest " * 14]
+    texts = [*ACCENTED, *(f"{filler} {w} {w}." for w in words), *(f"{w} {filler} doié citationé journal" for w in words), "é publishedé é license doié " * 4]
+    same(spark, tmp_path, "chunk_quality", documents=documents(texts))
