@@ -37,3 +37,17 @@ def test_quality_of_accented_letters(spark, tmp_path):
     words = ["éresults", "réfindings", "méthodeédoi", "issné", "bibliographyé", "résumé methodsé", "Smithé et al 2001 ÉSmith et al 2001 " * 7, "é1999 [1] " * 12, "largerñ smallest² " * 14, "smallest " * 14]
     texts = [*ACCENTED, *(f"{filler} {w} {w}." for w in words), *(f"{w} {filler} doié citationé journal" for w in words), "é publishedé é license doié " * 4]
     same(spark, tmp_path, "chunk_quality", documents=documents(texts))
+
+
+#: Readable but for single letters beside accented ones, which lower the score from over 0.75 to under it.
+SPACED = "éa " * 10 + "seven sunny brown foxes jumped across wooden garden fences while quick silver rivers carried yellow leaves towards distant mountain valleys under clear skies"
+
+
+def judged():
+    texts = [SPACED, SPACED, SPACED.replace("éa ", ""), "x"]
+    return {"documents": documents(texts), "labels": {"doc_id": pa.array(range(4), pa.int64()), "quality": pa.array([0, 1, 1, 0], pa.int32()), "toxic": pa.array([0] * 4, pa.int32())}}
+
+
+@pytest.mark.parametrize("name", ["mismatch_sheet"])
+def test_decisions_on_accented_letters(spark, tmp_path, name):
+    same(spark, tmp_path, name, **judged())
