@@ -48,6 +48,6 @@ def judged():
     return {"documents": documents(texts), "labels": {"doc_id": pa.array(range(4), pa.int64()), "quality": pa.array([0, 1, 1, 0], pa.int32()), "toxic": pa.array([0] * 4, pa.int32())}}
 
 
-@pytest.mark.parametrize("name", ["mismatch_sheet", "screening_confusion"])
+@pytest.mark.parametrize("name", ["mismatch_sheet", "screening_confusion", "screening_metrics"])
 def test_decisions_on_accented_letters(spark, tmp_path, name):
     same(spark, tmp_path, name, **judged())
