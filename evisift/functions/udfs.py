@@ -104,5 +104,16 @@ def redact_authors(text: pd.Series, authors: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
+    """Ratcliff-Obershelp similarity; what is known of b, and the ratio, serve the next row too if it is the same."""
+    m, last, out = difflib.SequenceMatcher(None), (None, None), []
+    for x, y in zip(a, b, strict=True):
+        x, y = x or "", y or ""
+        if y != last[1]:
+            m.set_seq2(y)
+        if (x, y) != last:
+            m.set_seq1(x)
+            out.append(m.ratio())
+        else:
+            out.append(out[-1])
+        last = (x, y)
+    return pd.Series(out, dtype=float)

@@ -31,13 +31,14 @@ def candidates(targets: DataFrame, others: DataFrame, token: str = "tokens", lea
     return t.select("target_id", "token").join(o.select("other_id", "token"), "token").select("target_id", "other_id").distinct()
 
 
-def decide(scored: DataFrame) -> DataFrame:
-    """Best and second score of each target and what follows from them."""
-    w = Window.partitionBy("target_id").orderBy(F.desc("score"), "other_id")
+def decide(scored: DataFrame, key: list[str] = ("target_id",)) -> DataFrame:
+    """Best and second score of each target and what follows from them; copies, if there, is how many others a row stands for."""
+    w = Window.partitionBy(*key).orderBy(F.desc("score"), "other_id")
     ranked = scored.withColumn("rank", F.row_number().over(w)).withColumn("second", F.lead("score").over(w)).where("rank = 1")
-    gap = F.col("score") - F.coalesce("second", F.lit(0.0))
+    second = F.when(F.col("copies") > 1, F.col("score")).otherwise(F.col("second")) if "copies" in scored.columns else F.col("second")
+    gap = F.col("score") - F.coalesce(second, F.lit(0.0))
     word = F.when((F.col("score") >= LEAST_SCORE) & (gap >= LEAST_GAP), "match").when(F.col("score") >= LEAST_SCORE, "ambiguous").otherwise("unmatched")
-    return ranked.select("target_id", "other_id", "score", F.round(gap, 6).alias("gap"), word.alias("decision"))
+    return ranked.select(*key, "other_id", "score", F.round(gap, 6).alias("gap"), word.alias("decision"))
 
 
 def score_tokens(pairs: DataFrame, targets: DataFrame, others: DataFrame) -> DataFrame:

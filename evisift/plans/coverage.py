@@ -849,7 +849,7 @@ def composite_linkage(part):
     """Parts beside files named for their brand, size and the first word of their name; the ratio has no SQL."""
     t = part.select(F.col("p_partkey").cast("string").alias("target_id"), F.regexp_replace(F.lower("p_brand"), "[^a-z0-9]", "").alias("author"), (F.col("p_size") + 1950).cast("string").alias("year"), F.col("p_name").alias("title"))
     o = part.where("p_partkey % 3 = 0").select(F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("other_id"), F.concat_ws(" ", F.regexp_replace(F.lower("p_brand"), "#", " "), (F.col("p_size") + 1950).cast("string"), "p_name").alias("name"), (F.col("p_size") + 1950).cast("string").alias("year"))
-    return linkage.decide(bootstrap.link_scores(t, o))
+    return bootstrap.best_links(t, o, Scratch(part.sparkSession, "links"))
 
 
 # --- ids, scores and records

@@ -336,3 +336,33 @@ def test_link_scores_and_rare_tokens(spark):
     met = {(r.target_id, r.other_id) for r in pairs.collect()}
     near = {(x, y) for x, a in sets_t for y, b in sets_o if len(set(a) & set(b)) >= 0.6 * len(set(a) | set(b))}
     assert near <= met and len(met) < 3600
+
+
+def test_best_links_are_those_of_all_pairs(spark):
+    import random
+
+    from evisift.operators import bootstrap
+    from evisift.sources.scratch import Scratch
+
+    rng = random.Random(6)
+    vocabulary = [f"word{k}" for k in range(9)] + ["the"] * 2
+    titles = ["", *(" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 4))) for _ in range(25))]
+    targets = [(f"t{k}", rng.choice(["smith", "vandenberg", "", "li", None]), rng.choice(["2001", "2002", "", "2004", None]), rng.choice([*titles, None])) for k in range(400)]
+    others = [(f"o{k}", f"{rng.choice(['smith', 'smith', 'van den berg', 'jones'])} {y} {rng.choice(titles)}", y) for k, y in enumerate(rng.choices(["2001", "2002", "2003", "", None], k=300))]
+    few = [(f"t{k}", "li", "2001", "word1 word2") for k in range(3)], [("o1", "li word1 word2", "2001"), ("o2", "word1 word2", "2001"), ("o3", "word2 word3", "2001"), ("o4", "li 2002 other", "2002")]
+    for some, rest in ((targets, others), few, (targets, others[:15]), (targets, others[:2]), (targets, [])):
+        t, o = spark.createDataFrame(some, "target_id string, author string, year string, title string"), spark.createDataFrame(rest, "other_id string, name string, year string")
+        wanted = linkage.decide(bootstrap.link_scores(t, o))
+        assert sorted(map(tuple, bootstrap.best_links(t, o, Scratch(spark, "links")).collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_linkage_of_many_copies(spark, tmp_path):
+    """12,000 parts of one brand against 4,000 files of it: 48 million pairs, of ten texts."""
+    from pyspark.sql import functions as F
+
+    from evisift.plans import QUERIES
+
+    parts = spark.range(12_000).select(F.col("id").alias("p_partkey"), F.lit("Brand#7").alias("p_brand"), (F.col("id") % 2).cast("int").alias("p_size"), F.concat(F.lit("part "), (F.col("id") % 5).cast("string")).alias("p_name"))
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    got = QUERIES["composite_linkage"](spark, str(tmp_path)).collect()
+    assert len(got) == 12_000 and {r.decision for r in got} == {"ambiguous"} and {r.gap for r in got} == {0.0}
