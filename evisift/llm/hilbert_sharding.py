@@ -4,10 +4,10 @@ Each dimension is quantised to 2^BITS levels, the levels become one index on the
 by that index and then by the remaining sort columns.  Rows of one run are near each other in every dimension, so
 minimum and maximum of a shard's files are narrow in all of them.
 
-Levels are the bounds of equal shares of the rows, taken from a bounded sample (``max_bound_rows``, a parameter), as a range
-partitioner does; strings and numbers are compared with them whole.  The sort is a range partitioning of narrow key rows (no text), which is split by sampled bounds; rank is the row's
-place in its partition plus the rows of the partitions before it.  Law ``rows``: of n rows and s shards, the row of
-rank r goes to shard r*s div n, so counts differ by one at most.
+Levels are the bounds of equal shares of all rows, found from the counts of each dimension's values; strings and numbers are
+compared with them whole.  The sort is a range partitioning of narrow key rows (no text); Spark samples where one task's range
+ends, which no rank depends on: rank is the row's place in its partition plus the rows of the partitions before it.  Law ``rows``:
+of n rows and s shards, the row of rank r goes to shard r*s div n, so counts differ by one at most.
 
 Cases: null text counts as no bytes; null dimensions take level 0; ties on the curve are broken by doc_id and then by
 size and checksum, and rows equal in all of these are interchangeable; an empty table gives no rows; only doc_id,
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
@@ -64,21 +64,35 @@ def quantised(value: Column, bounds: list, levels: int) -> Column:
     return F.floor(number * levels / F.lit(len(bounds) + 1)).cast("int")
 
 
-def level_bounds(rows: DataFrame, dimensions: list[str], levels: int, max_bound_rows: int) -> list[list]:
-    """For each dimension, values that cut a sample of about so many rows at most into equal shares; fewer where values recur."""
-    total = rows.count()
-    share = math.ceil(min(1.0, max_bound_rows / max(1, total)) * 1048576)
-    sample = rows.where(F.expr(f"pmod(xxhash64({', '.join(rows.columns)}), 1048576) < {share}")).select(*dimensions).toArrow()
-    out = []
-    for d in dimensions:
-        known = sorted(v for v in sample.column(d).to_pylist() if v is not None)
-        out.append(sorted({known[len(known) * k // levels] for k in range(1, levels)}) if known else [])
+def level_bounds(rows: DataFrame, dimensions: list[str], levels: int, range_values: int = 100_000) -> list[list]:
+    """For each dimension, the values that cut all rows into equal shares; fewer where values recur.
+
+    Rows of a value are counted, values are dealt into ranges of about range_values, and the values at the cuts are found
+    by running sums within the ranges that hold one.
+    """
+    scratch, out = Scratch(rows.sparkSession, "bounds"), []
+    for k, d in enumerate(dimensions):
+        counted = scratch.table(rows.select(F.col(d).alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n")), f"counts{k}")
+        ranges = max(1, math.ceil(counted.count() / range_values))
+        dealt = scratch.table(counted.repartitionByRange(ranges, "v").withColumn("part", F.spark_partition_id()), f"ranges{k}")
+        sizes = sorted((r["part"], r["n"]) for r in dealt.groupBy("part").agg(F.sum("n").alias("n")).collect())  # one row a range
+        total, before, cuts = sum(n for _, n in sizes), 0, {}
+        places = sorted({total * j // levels for j in range(1, levels)})
+        for part, n in sizes:
+            if own := [p - before for p in places if before <= p < before + n]:
+                cuts[part] = own
+            before += n
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        held = [f"part = {part} and upto - n <= {p} and {p} < upto" for part, own in cuts.items() for p in own]
+        found = dealt.where(F.col("part").isin(list(cuts))).withColumn("upto", upto).where(" or ".join(f"({h})" for h in held) or "false").select("v").toArrow()
+        out.append(sorted(set(found.column("v").to_pylist())))
+    scratch.clear()
     return out
 
 
-def hilbert_shards(rows: DataFrame, dimensions: list[str], order: list[str], shards: int, scratch: Scratch, bits: int = BITS, max_bound_rows: int = 50_000) -> DataFrame:
+def hilbert_shards(rows: DataFrame, dimensions: list[str], order: list[str], shards: int, scratch: Scratch, bits: int = BITS) -> DataFrame:
     """rows with curve, shard and slot (gapless from 0 in each shard); dimensions are columns of rows, strings or numbers."""
-    bounds = level_bounds(rows, dimensions, 1 << bits, max_bound_rows)
+    bounds = level_bounds(rows, dimensions, 1 << bits)
     levels = [F.coalesce(quantised(F.col(d), b, 1 << bits), F.lit(0)) for d, b in zip(dimensions, bounds, strict=True)]
     keyed = rows.withColumn("curve", on_curve(levels, bits))
     placed = keyed.repartitionByRange("curve", *order).sortWithinPartitions("curve", *order).withColumn("__id", F.monotonically_increasing_id())

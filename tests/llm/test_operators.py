@@ -606,6 +606,16 @@ def test_hilbert_order_and_pruning(spark, docs):
     assert hilbert_sharding.level_bounds(df.select("lang"), ["lang"], 16, 100_000) == [["de", "en", "fr"]]
 
 
+def test_hilbert_levels_come_from_all_rows(spark):
+    values = [(k * 7919 % 20_011) ** 2 % 5_003 for k in range(20_000)]
+    texts = [None if v % 50 == 0 else f"s{v % 700}" if v % 3 else "é" for v in values]
+    df = spark.createDataFrame(list(zip(values, texts)), "v long, t string")
+    known = [sorted(values), sorted(t for t in texts if t is not None)]
+    wanted = [sorted({x[len(x) * k // 16] for k in range(1, 16)}) for x in known]
+    assert hilbert_sharding.level_bounds(df, ["v", "t"], 16, 500) == wanted
+    assert hilbert_sharding.level_bounds(df.where("v < 0"), ["v", "t"], 16, 500) == [[], []]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(0)
     centre = rng.normal(size=(40, 32))
