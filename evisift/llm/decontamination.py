@@ -54,6 +54,8 @@ BRIEF, COVERED, FLOOR = 24, 0.5, 0.05
 COPIED, PARAPHRASED, ANSWERED = 0.7, 0.5, 0.8
 SHORTEST = 5
 RESIDENT_MB = 64
+#: Bytes of text searched at once: each run of words then has a number for every passage, several times over.
+SLICE_BYTES = 1 << 18
 
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[128:] = False
@@ -73,7 +75,7 @@ class Block(NamedTuple):
 
 
 def _words(column: pa.Array) -> Iterator[Words]:
-    return words(pc.utf8_lower(column), _BETWEEN)
+    return words(pc.utf8_lower(column), _BETWEEN, limit=SLICE_BYTES)
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:

@@ -116,13 +116,13 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         lo = min(hi, n)
 
 
-def words(column: pa.Array, white: np.ndarray = _WHITE, lanes: int = 1) -> Iterator[Words]:
+def words(column: pa.Array, white: np.ndarray = _WHITE, lanes: int = 1, limit: int = SLICE_BYTES) -> Iterator[Words]:
     """The words of every row, slice by slice, in order; white: which of 256 byte values are between words.
 
-    lanes: 2 for a second, independent hash of each word.
+    lanes: 2 for a second, independent hash of each word; limit: bytes of a slice of several rows.
     """
     off, data = text_buffers(column)
-    for lo, hi in slices(off):
+    for lo, hi in slices(off, limit):
         at = off[lo : hi + 1] - off[lo]
         b = data[off[lo] : off[hi]]
         inside = ~white[b]

@@ -606,6 +606,17 @@ def test_hilbert_order_and_pruning(spark, docs):
     assert hilbert_sharding.level_bounds(df.select("lang"), ["lang"], 16, 100_000) == [["de", "en", "fr"]]
 
 
+def test_leaks_are_searched_in_small_slices():
+    import pyarrow as pa
+
+    column = pa.array([f"Some text {k} " * 1500 for k in range(60)])
+    parts = [*decontamination._words(column)]
+    assert max(len(w.data) for w in parts) <= 1 << 18
+    assert [(w.lo, w.hi) for w in parts] == [(a, b) for a, b in zip([0, *(w.hi for w in parts)], [w.hi for w in parts])]
+    whole = [*textwords.words(pa.array([t.lower() for t in column.to_pylist()]), decontamination._BETWEEN)]
+    assert np.array_equal(np.concatenate([w.hashes for w in parts]), np.concatenate([w.hashes for w in whole]))
+
+
 def test_hilbert_levels_come_from_all_rows(spark):
     values = [(k * 7919 % 20_011) ** 2 % 5_003 for k in range(20_000)]
     texts = [None if v % 50 == 0 else f"s{v % 700}" if v % 3 else "é" for v in values]
