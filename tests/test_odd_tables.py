@@ -65,6 +65,20 @@ def test_decisions_of_repeated_ids(spark, tmp_path, name):
     same(spark, tmp_path, name, **repeated())
 
 
+def newer():
+    """Letters and numbers that are younger than Java 17: as characters of a text they raise its score over 0.75, as words of their own they lower it under that."""
+    kana, han, digit = "\U0001aff0", "\U00031350", "\U00016ac0"
+    longer = ["seven sunny brown horse field " + c * 20 for c in (kana, han, digit)]
+    alone = ["abcdefghij " * 20 + f"{c} " * 10 + "-" * 39 for c in (kana, han, digit)]
+    texts = [*longer, *alone, f"{kana}. ({han}) {digit}{kana} x{han} {digit}_", "seven sunny brown horses"]
+    return {"documents": documents(texts), "labels": {"doc_id": pa.array(range(8), pa.int64()), "quality": pa.array([1, 1, 1, 0, 0, 0, 0, 1], pa.int32()), "toxic": pa.array([0] * 8, pa.int32())}}
+
+
+@pytest.mark.parametrize("name", ["readability_metrics", "screening_confusion"])
+def test_decisions_on_newer_letters(spark, tmp_path, name):
+    same(spark, tmp_path, name, **newer())
+
+
 def test_attempts_at_halves(spark, tmp_path):
     values = [50.0, 150.0, 250.0, 350.0, 249.99999, 250.00001, None, -50.0, -150.0, 0.0]
     same(spark, tmp_path, "retry_attempts", events={"user_id": pa.array(range(10), pa.int64()), "value": pa.array(values, pa.float64())})
